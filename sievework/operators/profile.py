@@ -106,18 +106,28 @@ def exact_percentiles(
         [F.when(~F.isnan(c), F.col(c).cast("double")).alias(v) for c, v in names.items()]
     )
 
-    # Scan 1: brackets. At the ends the extremes close a bracket for certain.
+    # Scan 1: brackets, from one sketch per column. At the ends the extremes close a
+    # bracket for certain.
+    shares = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
+
     def edge(c: str, p: float) -> Column:
         v = names[c]
         if p <= 0:
-            return F.min(v)
-        return F.max(v) if p >= 1 else F.percentile_approx(v, p, accuracy)
-
-    brackets = values.agg(
-        *[edge(c, p - margin).alias(f"lo_{k}") for c, p, k in wanted],
-        *[edge(c, p + margin).alias(f"hi_{k}") for c, p, k in wanted],
-        *[F.count(v).alias(f"n_{v}") for v in names.values()],
-    ).select(F.struct("*"))
+            return F.col(f"min_{v}")
+        return F.col(f"max_{v}") if p >= 1 else F.get(f"q_{v}", F.lit(shares.index(p)))
+
+    sketches = []
+    for v in names.values():
+        sketches += [F.percentile_approx(v, shares, accuracy).alias(f"q_{v}")]
+        sketches += [F.min(v).alias(f"min_{v}"), F.max(v).alias(f"max_{v}")]
+        sketches += [F.count(v).alias(f"n_{v}")]
+    brackets = values.agg(*sketches).select(
+        F.struct(
+            *[edge(c, p - margin).alias(f"lo_{k}") for c, p, k in wanted],
+            *[edge(c, p + margin).alias(f"hi_{k}") for c, p, k in wanted],
+            *[F.col(f"n_{v}") for v in names.values()],
+        )
+    )
     bracketed = values.withColumn("_b", brackets.scalar())
     b = F.col("_b")
 

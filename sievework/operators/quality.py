@@ -118,8 +118,7 @@ def flag_rows(
 ) -> DataFrame:
     """Raw text rows to typed rows with all quality flags."""
     typed = standardize(check_schema(raw, spec), spec)
-    checked = evaluated_once(add_check_columns(typed, spec, options))
-    return checked.withColumns(rule_conditions(spec, options))
+    return evaluated_once(add_quality_flags(typed, spec, options))
 
 
 def rejection_report(flagged: DataFrame, spec: TableSpec) -> DataFrame:

@@ -85,10 +85,19 @@ def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def model_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Normalised training and test bookings, derived from one stored clean table."""
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table over the clean rows stored in one pass."""
     clean, _ = quality.write_verdicts(bookings(spark, sf_dir), BOOKING, scratch_dir(spark))
-    return scaling.train_test_tables(features.feature_table(clean, BOOKING), BOOKING, method="md5")
+    return features.feature_table(clean, BOOKING)
+
+
+def model_tables(
+    spark: SparkSession, sf_dir: str, digits: int = 6
+) -> tuple[DataFrame, DataFrame]:
+    """Normalised training and test bookings; the statistics and both sides read the stored
+    clean table instead of cleaning three times."""
+    features_ = stored_features(spark, sf_dir)
+    return scaling.train_test_tables(features_, BOOKING, method="md5", digits=digits)
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -326,10 +335,7 @@ def standardized(spark, sf_dir):
 @query
 def normalized_test_rows(spark, sf_dir):
     """Test side of the model input, scaled with statistics of the training side."""
-    _, test = scaling.train_test_tables(
-        booking_features(spark, sf_dir), BOOKING, method="md5", digits=4
-    )
-    return test
+    return model_tables(spark, sf_dir, digits=4)[1]
 
 
 @query
