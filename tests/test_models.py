@@ -9,10 +9,13 @@ from sievework.plans.bookings_view import bookings
 from sievework.sources import load_model, save_model, write_csv
 from sievework.specs import BOOKING
 
-SMALL = {
-    "Tree": DecisionTreeClassifier(maxDepth=3, seed=1),
-    "Regression": LogisticRegression(maxIter=3),
-}
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return {
+        "Tree": DecisionTreeClassifier(maxDepth=3, seed=1),
+        "Regression": LogisticRegression(maxIter=3),
+    }
 
 
 @pytest.fixture(scope="module")
@@ -33,10 +36,10 @@ def test_catalog_tables(spark, catalog):
     assert {"raw", "clean", "rejected", "train_normalized", "test_normalized"} <= names
 
 
-def test_compare_save_and_describe(spark, catalog, tmp_path):
+def test_compare_save_and_describe(spark, catalog, small, tmp_path):
     path = str(tmp_path / "model")
     chosen = modelling.compare_models(
-        catalog.train, catalog.test, BOOKING, SMALL, partitions=4, model_path=path
+        catalog.train, catalog.test, BOOKING, small, partitions=4, model_path=path
     )
     rows = chosen.comparison.collect()
     assert [r["model"] for r in rows][0] == chosen.best.name
