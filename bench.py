@@ -76,7 +76,10 @@ def train_times(spark: SparkSession) -> dict[str, float]:
     """Seconds to fit each of the four models on the persisted training rows."""
     train, test = model_tables(spark, SF_DIR)
     columns = modelling.model_columns(train, BOOKING)
-    sides = [training.assemble(t, columns, BOOKING.label) for t in (train, test)]
+    sides = [
+        training.spread(training.assemble(t, columns, BOOKING.label), int(CPUS))
+        for t in (train, test)
+    ]
     with training.kept(*sides) as (train_ml, test_ml):
         train_ml.count(), test_ml.count()
         for run in range(2):

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("customer", "lineitem", "orders")
 
 # Plain SQL, so that the same text runs on another engine to check results against.
-# The lines are reduced to one row per order before the join, with map-side combine. Keys
-# of more than eight digits are not cut, so that every order keeps an id of its own. The
-# hint keeps the reduced lines, which grow with the data, from being broadcast, and leaves
-# the rows spread over the shuffle partitions for the text work that follows.
+# * The lines are reduced to one row per order before the join, with map-side combine; the
+#   hint keeps that side, which grows with the data, from being broadcast, and leaves the
+#   rows spread over the shuffle partitions for the text work that follows.
+# * Keys of more than eight digits are not cut, so that every order keeps an id of its own.
+# * A thousandth of the price is rounded half up in whole cents, because engines differ in
+#   how they round a binary tie such as 69.195.
 BOOKINGS_SQL = """
 SELECT /*+ MERGE(n) */
   concat('INN', CASE WHEN o.o_orderkey < 100000000 THEN lpad(cast(o.o_orderkey AS varchar(20)), 8, '0')
@@ -39,7 +41,8 @@ SELECT /*+ MERGE(n) */
   cast(CASE WHEN o.o_custkey % 10 = 0 THEN 1 ELSE 0 END AS varchar(20)) AS repeated_guest,
   cast(o.o_custkey % 2 AS varchar(20)) AS no_of_previous_cancellations,
   cast(o.o_custkey % 5 AS varchar(20)) AS no_of_previous_bookings_not_canceled,
-  cast(cast(o.o_totalprice / 1000 AS decimal(12,2)) AS varchar(20)) AS avg_price_per_room,
+  cast(cast(floor((round(o.o_totalprice * 100) + 500) / 1000) / 100 AS decimal(12,2)) AS varchar(20))
+    AS avg_price_per_room,
   cast(o.o_orderkey % 6 AS varchar(20)) AS no_of_special_requests,
   CASE WHEN o.o_orderkey % 127 = 0 THEN 'Unknown' WHEN o.o_orderstatus = 'F' THEN 'Canceled'
        ELSE 'Not_Canceled' END AS booking_status

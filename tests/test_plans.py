@@ -7,7 +7,7 @@ from sievework.plans.bookings_view import bookings, table
 from sievework.plans.queries import QUERIES
 
 LAZY = (
-    "clean_rows", "rejected_rows", "violation_summary", "clean_assertion", "unknown_labels",
+    "clean_rows", "rejected_rows", "violation_summary", "unknown_labels",
     "frequency_tables", "target_distribution", "numeric_summary", "exact_percentiles",
     "duplicate_rows", "dedupe_keep_one", "feature_table", "hash_split_md5", "scaling_stats",
     "standardized", "target_correlation", "majority_baseline", "classification_metrics", "roc_auc",
