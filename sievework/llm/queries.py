@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievework.llm import mixing, simhash, token_counts
+from sievework.llm import mixing, packing, simhash, token_counts, topk, toxicity
 from sievework.llm.common import documents
 
 
@@ -32,7 +33,28 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_groups, op5_token_counts, op9_source_mix)}
+def op6_packed_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels)
+
+
+def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (
+        op1_simhash_groups,
+        op5_token_counts,
+        op6_packed_bins,
+        op8_toxicity,
+        op9_source_mix,
+        op10_top_vectors,
+    )}
 
 ORACLES = {
     "op9_source_mix": r"""
@@ -66,4 +88,16 @@ rests AS (SELECT *, floor(target - whole * source_size + 0.5)::BIGINT AS rest FR
 SELECT doc_id, size, source_size, target,
        (whole * size + greatest(0, least(size, rest - (until - size))))::BIGINT AS taken
 FROM rests""",
+    "op10_top_vectors": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 5""",
 }
