@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import mixing, packing, simhash, token_counts, topk, toxicity
+from sievework.llm import mixing, packing, robust_outliers, rule_quality, simhash, token_counts, topk, toxicity
 from sievework.llm.common import documents
 
 
@@ -24,6 +24,18 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = robust_outliers.judged(documents(spark, sf_dir), keep=["doc_id"])
+    statistics = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("row.doc_id", *statistics, "base_failed", "kept", "distance")
+
+
+def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = rule_quality.quality(documents(spark, sf_dir), labels, keep=["doc_id"])
+    return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -49,6 +61,8 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
         op1_simhash_groups,
+        op2_robust_outliers,
+        op4_rule_quality,
         op5_token_counts,
         op6_packed_bins,
         op8_toxicity,
