@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import mixing, packing, robust_outliers, rule_quality, simhash, token_counts, topk, toxicity
+from sievework.llm import mixing, packing, robust_outliers, rule_quality, simhash, suffix_dedup, token_counts, topk, toxicity
 from sievework.llm.common import documents
 
 
@@ -30,6 +30,10 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *statistics, "base_failed", "kept", "distance")
 
 
+def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(documents(spark, sf_dir))
+
+
 def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = rule_quality.quality(documents(spark, sf_dir), labels, keep=["doc_id"])
@@ -62,6 +66,7 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
         op1_simhash_groups,
         op2_robust_outliers,
+        op3_repeated_spans,
         op4_rule_quality,
         op5_token_counts,
         op6_packed_bins,
