@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import mixing, packing, robust_outliers, rule_quality, simhash, suffix_dedup, token_counts, topk, toxicity
+from sievework.llm import attention_lm, mixing, packing, robust_outliers, rule_quality, simhash, suffix_dedup, token_counts, topk, toxicity
 from sievework.llm.common import documents
 
 
@@ -53,6 +53,10 @@ def op6_packed_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op7_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.toxicity(documents(spark, sf_dir), labels)
@@ -70,6 +74,7 @@ QUERIES = {f.__name__: f for f in (
         op4_rule_quality,
         op5_token_counts,
         op6_packed_bins,
+        op7_attention_scores,
         op8_toxicity,
         op9_source_mix,
         op10_top_vectors,
