@@ -62,7 +62,7 @@ def base_statistics(docs: DataFrame, text: str = "text", keep: Sequence[str] | N
     )
 
     def alike(i: Column, j: Column) -> Column:
-        return F.coalesce(F.get(F.col("h.x"), i) == F.get(F.col("h.x"), j), F.lit(False))
+        return F.coalesce(F.get(F.col("h"), i)["x"] == F.get(F.col("h"), j)["x"], F.lit(False))
 
     hits = F.filter(
         F.transform("h", lambda p, i: F.when(alike(i, i - 1) | alike(i, i + 1), p["i"])), lambda p: p.isNotNull()
