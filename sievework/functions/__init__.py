@@ -1,6 +1,6 @@
 """Column expressions: no jobs, no UDFs, the same result with ANSI mode on or off."""
 
-from sievework.functions.coercion import safe_double, safe_int, trimmed
+from sievework.functions.coercion import safe_double, safe_int, safe_long, trimmed
 from sievework.functions.dates import date_from_parts
 from sievework.functions.features import (
     binary_label,
@@ -29,6 +29,7 @@ __all__ = [
     "rounded_ratio",
     "safe_double",
     "safe_int",
+    "safe_long",
     "total",
     "trimmed",
     "weekend_flag",

@@ -25,6 +25,14 @@ def safe_int(text: Column) -> Column:
     )
 
 
+def safe_long(text: Column) -> Column:
+    """Text to 64-bit integer, by the rules of :func:`safe_int`."""
+    return F.coalesce(
+        text.try_cast("bigint"),
+        F.regexp_replace(text, _DECIMAL_TEXT, _WHOLE_PART).try_cast("bigint"),
+    )
+
+
 def safe_double(text: Column) -> Column:
     """Text to double; words give NULL."""
     return text.try_cast("double")

@@ -4,32 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework import functions as fx
 from sievework.operators.ranking import top_by_magnitude
+from sievework.sources.small import small_table
 
 TARGET_TOP = 12
 PAIR_TOP = 10
 
 
-def _usable_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns as doubles, without rows that hold a NULL or NaN in any of them."""
-    doubles = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.where(~fx.any_true(fx.null_or_nan(c) for c in columns))
-
-
-def pearson(left: str, right: str) -> Column:
-    """Aggregate: the correlation of two double columns, NULL when one is constant."""
-    return F.try_divide(
-        F.covar_pop(left, right), F.stddev_pop(left) * F.stddev_pop(right)
-    )
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature_a, feature_b, position_a, position_b, r) for all ordered pairs.
 
@@ -40,14 +26,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     vectors = assembler.transform(df.select(list(columns))).select("v")
     matrix = Correlation.corr(vectors, "v").head()[0].toArray()
     p = len(columns)
-    cells = pd.DataFrame(
-        {
-            "position_a": [i for i in range(p) for _ in range(p)],
-            "position_b": list(range(p)) * p,
-            "r": matrix.reshape(-1),
-        }
-    )
-    long = df.sparkSession.createDataFrame(cells, "position_a int, position_b int, r double")
+    cells = [(i, j, float(matrix[i, j])) for i in range(p) for j in range(p)]
+    long = small_table(df.sparkSession, cells, "position_a int, position_b int, r double")
     names = F.array(*[F.lit(c) for c in columns])
     return long.select(
         names[F.col("position_a")].alias("feature_a"),
@@ -58,47 +38,44 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _with_target(matrix: DataFrame, p: int, k: int | None) -> DataFrame:
+    """Correlations of the first ``p`` columns with the one after them."""
+    cells = matrix.where((F.col("position_b") == p) & (F.col("position_a") < p))
+    named = cells.select(F.col("feature_a").alias("feature"), "r")
+    return top_by_magnitude(named, "r", k or p, ["feature"])
+
+
+def _pairs(matrix: DataFrame, p: int, k: int | None) -> DataFrame:
+    """Correlations among the first ``p`` columns, each pair once."""
+    cells = matrix.where((F.col("position_a") < F.col("position_b")) & (F.col("position_b") < p))
+    top = top_by_magnitude(cells, "r", k or p * p, ["position_a", "position_b"])
+    return top.select("feature_a", "feature_b", "r")
+
+
 def target_correlations(
     df: DataFrame, features: Sequence[str], label: str, k: int | None = TARGET_TOP
 ) -> DataFrame:
-    """(feature, r) with the label, strongest first.
-
-    One scan. Rows are turned into (feature, x, label) and reduced per feature by the map
-    tasks, so a shuffle moves one row per feature and partition, and the generated code
-    does not grow with the number of features.
-    """
-    long = _usable_rows(df, [*features, label]).unpivot([label], list(features), "feature", "x")
-    r = long.groupBy("feature").agg(pearson("x", label).alias("r"))
-    return top_by_magnitude(r, "r", k or len(features), ["feature"])
+    """(feature, r) with the label, strongest first; ``k`` rows, all with ``None``."""
+    return _with_target(correlation_matrix(df, [*features, label]), len(features), k)
 
 
 def pair_correlations(
     df: DataFrame, features: Sequence[str], k: int | None = PAIR_TOP
 ) -> DataFrame:
-    """(feature_a, feature_b, r) of the strongest pairs, each pair once."""
-    pairs = correlation_matrix(df, features).where("position_a < position_b")
-    top = top_by_magnitude(
-        pairs, "r", k or len(features) ** 2, ["position_a", "position_b"]
-    )
-    return top.select("feature_a", "feature_b", "r")
+    """(feature_a, feature_b, r) of the strongest pairs, each pair once; all with ``None``."""
+    return _pairs(correlation_matrix(df, features), len(features), k)
 
 
 def correlation_report(
-    features: DataFrame, names: Sequence[str], label: str
+    features: DataFrame,
+    names: Sequence[str],
+    label: str,
+    k_target: int | None = TARGET_TOP,
+    k_pairs: int | None = PAIR_TOP,
 ) -> tuple[DataFrame, DataFrame]:
-    """The strongest correlations with the label and between features, from one matrix."""
+    """The strongest correlations with the label and between features, from one matrix.
+
+    The numbers of rows are the report's usual ones; ``None`` gives all.
+    """
     matrix = correlation_matrix(features, [*names, label])
-    p = len(names)
-    target = top_by_magnitude(
-        matrix.where((F.col("position_b") == p) & (F.col("position_a") < p)),
-        "r",
-        TARGET_TOP,
-        ["position_a"],
-    ).select(F.col("feature_a").alias("feature"), "r")
-    pairs = top_by_magnitude(
-        matrix.where((F.col("position_a") < F.col("position_b")) & (F.col("position_b") < p)),
-        "r",
-        PAIR_TOP,
-        ["position_a", "position_b"],
-    ).select("feature_a", "feature_b", "r")
-    return target, pairs
+    return _with_target(matrix, len(names), k_target), _pairs(matrix, len(names), k_pairs)

@@ -7,6 +7,7 @@ that holds a third of the rows costs no more than any other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework import functions as fx
+from sievework.sources.small import small_table
 from sievework.spec import TableSpec
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -63,27 +65,47 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and approximate quartiles per column.
 
-    One scan and one partial aggregate for all columns. The quartiles are off by at most
-    1/accuracy of the rows; :func:`exact_percentiles` gives exact ones.
+    One partial aggregate for the moments of all columns, and one pass for the quartiles whose
+    sketches are merged in a tree of tasks. The quartiles are off by at most 1/accuracy of
+    the rows; :func:`exact_percentiles` gives exact ones.
     """
-    aggregates = []
-    for i, c in enumerate(columns):
-        aggregates.append(
+    return summary_rows(df.agg(*moments(columns)), quartiles(df, columns, accuracy))
+
+
+def moments(columns: Sequence[str]) -> list[Column]:
+    """Aggregates ``s0``, ``s1`` ... with the moments of each column as a struct."""
+    return [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("stddev"),
+            F.min(F.col(c).cast("double")).alias("min"),
+            F.max(F.col(c).cast("double")).alias("max"),
+        ).alias(f"s{i}")
+        for i, c in enumerate(columns)
+    ]
+
+
+def quartiles(df: DataFrame, columns: Sequence[str], accuracy: int) -> list[list[float]]:
+    """Approximate quartiles of each column; an empty list for one without values."""
+    doubles = df.select([F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    return doubles.approxQuantile(doubles.columns, list(QUARTILES), 1.0 / accuracy)
+
+
+def summary_rows(row: DataFrame, quarters: Sequence[Sequence[float]]) -> DataFrame:
+    """The structs of :func:`moments` and the quartiles of each column, as one row per column."""
+    entries = []
+    for i, found in enumerate(quarters):
+        s, values = F.col(f"s{i}"), found or [None] * len(QUARTILES)
+        parts = {n: F.lit(v).cast("double") for n, v in zip(("p25", "p50", "p75"), values)}
+        names = ("column", "count", "mean", "stddev", "min")
+        entries.append(
             F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("stddev"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.percentile_approx(F.col(c).cast("double"), list(QUARTILES), accuracy).alias("q"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(f"s{i}")
+                *[s[n].alias(n) for n in names], *[v.alias(n) for n, v in parts.items()], s["max"].alias("max")
+            )
         )
-    rows = df.agg(*aggregates).select(
-        F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))]))
-    )
-    quartiles = [F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
-    return rows.select("column", "count", "mean", "stddev", "min", *quartiles, "max")
+    return row.select(F.inline(F.array(*entries)))
 
 
 def exact_percentiles(
@@ -91,13 +113,16 @@ def exact_percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
     accuracy: int = 10_000,
+    cells: int = 1_000,
 ) -> DataFrame:
     """(column, probability, value): the smallest value with at least that share of the
     non-NULL, non-NaN values at or below it.
 
-    An approximate percentile a little to each side brackets every answer, which one
-    more scan turns into an exact rank. Only the distinct values inside a bracket are
-    shuffled and sorted, about 6/accuracy of the rows, never a whole column.
+    Approximate percentiles a little to each side, from sketches merged in a tree of tasks,
+    bracket every answer; they come to the driver, two numbers for each. One scan counts what
+    lies below each bracket. Another counts the distinct values inside, about 6/accuracy of the
+    rows. Each bracket is cut into ``cells`` of equal width: running sums go cell by cell in
+    parallel, and a table of at most ``cells`` rows per bracket has what lies before each cell.
     """
     margin = 3.0 / accuracy
     names = {c: f"v{i}" for i, c in enumerate(columns)}
@@ -105,78 +130,68 @@ def exact_percentiles(
     values = df.select(
         [F.when(~F.isnan(c), F.col(c).cast("double")).alias(v) for c, v in names.items()]
     )
-
-    # Scan 1: brackets, from one sketch per column. At the ends the extremes close a
-    # bracket for certain.
     shares = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
-
-    def edge(c: str, p: float) -> Column:
-        v = names[c]
+    inner = [s for s in shares if 0 < s < 1]
+    sketch = dict(zip(names.values(), values.approxQuantile(values.columns, inner, 1.0 / accuracy)))
+    ends = values.agg(
+        *[f(v).alias(f"{n}_{v}") for v in names.values() for n, f in (("min", F.min), ("max", F.max), ("n", F.count))]
+    ).head()
+
+    # At the ends the extremes close a bracket for certain.
+    def edge(v: str, p: float) -> float:
         if p <= 0:
-            return F.col(f"min_{v}")
-        return F.col(f"max_{v}") if p >= 1 else F.get(f"q_{v}", F.lit(shares.index(p)))
-
-    sketches = []
-    for v in names.values():
-        sketches += [F.percentile_approx(v, shares, accuracy).alias(f"q_{v}")]
-        sketches += [F.min(v).alias(f"min_{v}"), F.max(v).alias(f"max_{v}")]
-        sketches += [F.count(v).alias(f"n_{v}")]
-    brackets = values.agg(*sketches).select(
-        F.struct(
-            *[edge(c, p - margin).alias(f"lo_{k}") for c, p, k in wanted],
-            *[edge(c, p + margin).alias(f"hi_{k}") for c, p, k in wanted],
-            *[F.col(f"n_{v}") for v in names.values()],
-        )
-    )
-    bracketed = values.withColumn("_b", brackets.scalar())
-    b = F.col("_b")
-
-    # Scan 2: how many values lie below each bracket.
-    below = bracketed.agg(
-        *[F.count_if(F.col(names[c]) < b[f"lo_{k}"]).alias(k) for c, _, k in wanted]
-    ).select(F.struct("*"))
-
-    # Scan 3: the values inside, counted per distinct value.
-    inside = [
-        F.when(
-            F.col(names[c]).between(b[f"lo_{k}"], b[f"hi_{k}"]),
-            F.struct(F.lit(k).alias("k"), F.col(names[c]).alias("value")),
-        )
-        for c, _, k in wanted
-    ]
-    grouped = (
-        bracketed.select(F.inline(F.array_compact(F.array(*inside))))
-        .groupBy("k", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = F.sum("n").over(
-        Window.partitionBy("k").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = grouped.withColumn("upto", upto)
-
-    # The value whose running count first reaches the wanted rank.
-    def hit(c: str, p: float, k: str) -> Column:
-        share = F.ceil(F.lit(Decimal(str(p))) * b[f"n_{names[c]}"]).cast("bigint")
-        rank = F.greatest(share, F.lit(1)) - F.col("_below")[k]
-        return (F.col("k") == k) & (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
-
-    found = (
-        ranked.withColumns({"_b": brackets.scalar(), "_below": below.scalar()})
-        .agg(*[F.max(F.when(hit(c, p, k), F.col("value"))).alias(k) for c, p, k in wanted])
-        .withColumn("_b", brackets.scalar())
-    )
-    rows = []
-    for c, p, k in wanted:
-        missed = F.col(k).isNull() & (b[f"n_{names[c]}"] > 0)
-        error = F.raise_error(F.lit(f"no exact percentile found for {c} at {p}")).cast("double")
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(float(p)).alias("probability"),
-                F.when(missed, error).otherwise(F.col(k)).alias("value"),
+            return ends[f"min_{v}"]
+        return ends[f"max_{v}"] if p >= 1 else sketch[v][inner.index(p)]
+
+    filled = [(c, p, k) for c, p, k in wanted if ends[f"n_{names[c]}"]]
+    low = {k: edge(names[c], p - margin) for c, p, k in filled}
+    high = {k: edge(names[c], p + margin) for c, p, k in filled}
+    found = {}
+    if filled:
+        below = values.agg(*[F.count_if(F.col(names[c]) < low[k]).alias(k) for c, _, k in filled]).head()
+        rank = {
+            k: max(math.ceil(Decimal(str(p)) * ends[f"n_{names[c]}"]), 1) - below[k] for c, p, k in filled
+        }
+
+        def cell(v: Column, k: str) -> Column:
+            place = F.floor((v - low[k]) / (high[k] - low[k]) * cells) if high[k] > low[k] else F.lit(0)
+            inside = F.least(place.cast("double"), F.lit(cells - 1.0))
+            # Infinite ends give no width to divide by; order is kept with the ends in the outer cells.
+            inside = F.when(F.isnan(inside), F.lit(0.0)).otherwise(inside)
+            return F.when(v == low[k], 0).when(v == high[k], cells - 1).otherwise(inside.cast("int"))
+
+        inside = [
+            F.when(
+                F.col(names[c]).between(low[k], high[k]),
+                F.struct(F.lit(k).alias("k"), cell(F.col(names[c]), k).alias("cell"), F.col(names[c]).alias("value")),
             )
+            for c, _, k in filled
+        ]
+        grouped = (
+            values.select(F.inline(F.array_compact(F.array(*inside))))
+            .groupBy("k", "cell", "value")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        before = Window.partitionBy("k").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (
+            grouped.groupBy("k", "cell")
+            .agg(F.sum("n").alias("n"))
+            .select("k", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
         )
-    return found.select(F.inline(F.array(*rows)))
+        within = Window.partitionBy("k", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = grouped.withColumn("upto", F.sum("n").over(within)).join(offsets, ["k", "cell"])
+        upto = F.col("upto") + F.col("before")
+        # The value whose running count first reaches the wanted rank.
+        hits = [
+            F.max(F.when((F.col("k") == k) & (upto >= r) & (upto - F.col("n") < r), F.col("value"))).alias(k)
+            for k, r in rank.items()
+        ]
+        found = ranked.agg(*hits).head().asDict()
+        missed = [k for k in rank if found[k] is None]
+        if missed:
+            raise RuntimeError(f"no exact percentile found in the brackets of {missed}")
+    rows = [(c, float(p), found.get(k)) for c, p, k in wanted]
+    return small_table(df.sparkSession, rows, "column string, probability double, value double")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -196,6 +211,8 @@ def duplicate_rows(df: DataFrame, fingerprint: bool = False) -> DataFrame:
     """
     keys = [F.col(c) for c in df.columns]
     if fingerprint:
+        # A row hash skips NULLs, so which columns are NULL is hashed as well.
+        keys = [F.array(*[k.isNull() for k in keys]), *keys]
         keys = [F.xxhash64(*keys).alias("h1"), F.xxhash64(F.lit("second"), *keys[::-1]).alias("h2")]
     return _excess(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
 
@@ -209,11 +226,12 @@ def _excess(groups: DataFrame) -> DataFrame:
 
 
 def violation_totals(flagged: DataFrame, spec: TableSpec) -> DataFrame:
-    """(rule, violations), one row per quality flag, plus the rows rejected by any of them."""
+    """(rule, violations): one row per quality flag, the rows rejected by any of them, and
+    the conditions that are observed only."""
     rules = {f: F.col(f) for f in spec.flags} | {
         "any_rule": fx.any_true(F.col(f) for f in spec.flags)
     }
-    return rule_totals(flagged, rules)
+    return rule_totals(flagged, rules | {n: condition() for n, condition in spec.observed.items()})
 
 
 def rule_totals(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -13,6 +13,7 @@ from sievework.spec import (
     CATEGORY_FLAG,
     DOUBLE,
     INTEGER,
+    LONG,
     MISSING_FLAG,
     NEGATIVE_FLAG,
     TARGET_FLAG,
@@ -32,7 +33,7 @@ def trim_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def coerce_types(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Numeric spec columns from text to int / double; what does not parse becomes NULL."""
-    casts = {INTEGER: fx.safe_int, DOUBLE: fx.safe_double}
+    casts = {INTEGER: fx.safe_int, LONG: fx.safe_long, DOUBLE: fx.safe_double}
     kinds = {c.name: casts[c.kind] for c in spec.columns if c.numeric}
     return df.select([kinds[c](F.col(c)).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
@@ -93,10 +94,10 @@ def add_check_columns(
             F.col(d.year), F.col(d.month), F.col(d.day), strict=options.strict_date_parts
         )
     for rule in spec.sums:
-        # Integers are summed as bigint so that no sum can overflow.
+        # Whole numbers are summed as bigint, so that 32-bit addends cannot overflow.
         kinds = {spec[c].kind for c in rule.columns}
         derived[rule.output] = (
-            fx.total(*rule.columns) if kinds == {INTEGER} else sum(map(F.col, rule.columns))
+            fx.total(*rule.columns) if kinds <= {INTEGER, LONG} else sum(map(F.col, rule.columns))
         )
     return df.withColumns(derived)
 

@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 
 from sievework.operators.curves import areas_under_curves
 from sievework.operators.evaluation import METRICS, classification_metrics, confusion_matrix
+from sievework.sources.small import small_table
 
 SEED = 42
+CELL_SCHEMA = "label double, prediction double, count bigint"
+# The columns of the comparison table.
 RESULT_SCHEMA = (
     "model string, roc_auc double, pr_auc double, accuracy double, precision double, "
     "recall double, f1_score double, training_time_seconds double"
@@ -132,6 +135,7 @@ class Trained:
     recall: float
     f1_score: float
     training_seconds: float
+    cells: tuple[tuple, ...] = ()  # (label, prediction, count) of the test rows
 
     def rounded(self, digits: int = 4) -> tuple:
         scores = (self.roc_auc, self.pr_auc, *[getattr(self, m) for m in METRICS])
@@ -149,13 +153,18 @@ def positive_score(predictions: DataFrame) -> DataFrame:
     return predictions.select("label", "prediction", raw[1].alias("score"))
 
 
-def evaluate_model(predictions: DataFrame, exact: bool = False) -> dict[str, float]:
-    """All metrics of scored rows.
+def evaluate_model(predictions: DataFrame, exact: bool = False) -> dict:
+    """All metrics of scored rows, and the cells of their confusion matrix.
 
-    Ranking areas come from the binned evaluator, whose cost does not grow with the
-    number of distinct scores, or ``exact`` from all distinct scores.
+    Ranking areas come from the binned evaluator, which sorts the distinct scores once for
+    each area before it bins them, or ``exact`` from all distinct scores in one pass by ranges.
     """
-    metrics = classification_metrics(confusion_matrix(predictions)).head().asDict()
+    spark = predictions.sparkSession
+    cells = tuple(
+        (float(r[0]), float(r[1]), r[2]) for r in confusion_matrix(predictions).collect()
+    )  # at most the number of classes squared
+    matrix = small_table(spark, cells, CELL_SCHEMA)
+    metrics = classification_metrics(matrix).head().asDict() | {"cells": cells}
     if exact:
         areas = areas_under_curves(positive_score(predictions)).head()
         return metrics | {"roc_auc": areas["roc_auc"], "pr_auc": areas["pr_auc"]}
@@ -165,6 +174,11 @@ def evaluate_model(predictions: DataFrame, exact: bool = False) -> dict[str, flo
     return metrics
 
 
+def matrix_of(spark: SparkSession, result: Trained) -> DataFrame:
+    """The confusion matrix of a fitted model's test rows, as counted when it was evaluated."""
+    return small_table(spark, result.cells, CELL_SCHEMA)
+
+
 def train_models(
     estimators: Mapping[str, Estimator], train: DataFrame, test: DataFrame, exact: bool = False
 ) -> list[Trained]:
@@ -185,7 +199,7 @@ def train_models(
 
 def comparison_table(spark: SparkSession, results: Sequence[Trained]) -> DataFrame:
     """One row per model with rounded metrics, best ROC area first."""
-    rows = spark.createDataFrame([r.rounded() for r in results], RESULT_SCHEMA)
+    rows = small_table(spark, [r.rounded() for r in results], RESULT_SCHEMA)
     return rows.orderBy(F.desc("roc_auc"), "model")
 
 

@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.ml.base import Estimator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievework.operators.evaluation import (
-    confusion_matrix,
+    distribution_in_matrix,
     label_distribution,
     majority_baseline,
-    prediction_distribution,
 )
 from sievework.operators.inspection import feature_importance, model_contents
 from sievework.operators.quality import DEFAULT_OPTIONS
@@ -25,7 +25,7 @@ from sievework.operators.training import (
     four_models,
     input_sizes,
     kept,
-    score_rows,
+    matrix_of,
     spread,
     train_models,
     two_models,
@@ -57,11 +57,13 @@ def compare_models(
     estimators: Mapping[str, Estimator] | None = None,
     partitions: int | None = None,
     model_path: str | None = None,
+    importances: int | None = None,
 ) -> Selected:
     """Train the estimators on a normalised table, compare them and save the best one.
 
-    ``partitions`` redistributes the assembled rows before training. Reports that read the
-    test predictions again are lazy; they rescore with the fitted model.
+    ``partitions`` redistributes the assembled rows before training; ``importances`` is the
+    number of feature importances reported for each tree model, all by default. Reports come
+    from what was counted during the evaluation, so nothing is scored twice.
     """
     spark = train.sparkSession
     columns = model_columns(train, spec)
@@ -71,25 +73,42 @@ def compare_models(
         sizes = input_sizes(train_ml, test_ml, len(columns)).collect()
         baseline = majority_baseline(train_ml, test_ml).collect()
         results = train_models(estimators or four_models(), train_ml, test_ml)
+        labels = label_distribution(train_ml).collect()
     reports = {
         "input_sizes": spark.createDataFrame(sizes),
         "majority_baseline": spark.createDataFrame(baseline),
-        "training_labels": label_distribution(train_ml).orderBy("label"),
+        "training_labels": spark.createDataFrame(labels).orderBy("label"),
+        "test_labels": distribution_in_matrix(matrix_of(spark, results[0]), "label").orderBy("label"),
     }
     for r in results:
-        predictions = score_rows(r.model, test_ml)
-        reports[f"confusion_matrix/{r.name}"] = confusion_matrix(predictions).orderBy(
-            "label", "prediction"
-        )
-        reports[f"prediction_distribution/{r.name}"] = prediction_distribution(predictions)
+        matrix = matrix_of(spark, r)
+        reports[f"confusion_matrix/{r.name}"] = matrix.orderBy("label", "prediction")
+        reports[f"prediction_distribution/{r.name}"] = distribution_in_matrix(matrix, "prediction")
         if hasattr(r.model, "featureImportances"):
-            reports[f"feature_importance/{r.name}"] = feature_importance(spark, r.model, columns)
+            reports[f"feature_importance/{r.name}"] = feature_importance(
+                spark, r.model, columns, importances
+            )
     best = best_model(results)
     if model_path:
         save_model(best.model, model_path)
     return Selected(comparison_table(spark, results), best, results, reports)
 
 
+def result_tables(spark: SparkSession, chosen: Selected) -> dict[str, DataFrame]:
+    """The five result tables of a run, of its best model; importances only if it has them."""
+    name = chosen.best.name
+    matrix = matrix_of(spark, chosen.best)
+    tables = {
+        "best_model_metrics": chosen.comparison.where(F.col("model") == name),
+        "confusion_matrix": matrix.orderBy("label", "prediction"),
+        "actual_label_distribution": distribution_in_matrix(matrix, "label").orderBy("label"),
+        "prediction_distribution": distribution_in_matrix(matrix, "prediction").orderBy("prediction"),
+    }
+    if (importance := chosen.reports.get(f"feature_importance/{name}")) is not None:
+        tables["feature_importance"] = importance
+    return tables
+
+
 def train_two_from_csv(
     spark: SparkSession,
     path: str,
@@ -112,7 +131,9 @@ def train_two_from_csv(
         forest, regression = train_models(two_models(), train_ml, test_ml)
     best = better_of_two(forest, regression)
     save_model(best.model, model_path)
-    return Selected(comparison_table(spark, [forest, regression]), best, [forest, regression], {})
+    importance = feature_importance(spark, forest.model, columns, None)
+    reports = {f"feature_importance/{forest.name}": importance}
+    return Selected(comparison_table(spark, [forest, regression]), best, [forest, regression], reports)
 
 
 def describe_saved_model(

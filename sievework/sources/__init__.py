@@ -6,9 +6,9 @@ from sievework.sources.readers import (
     read_csv,
     read_csv_inferred,
     read_table,
-    small_table,
 )
 from sievework.sources.scratch import scratch_dir
+from sievework.sources.small import small_table
 from sievework.sources.writers import (
     list_tables,
     table_counts,

@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import types as T
 
-STRING, INTEGER, DOUBLE = "string", "int", "double"
+STRING, INTEGER, LONG, DOUBLE = "string", "int", "bigint", "double"
 
+# The names of the quality flags that every table can have.
 MISSING_FLAG = "missing_required_value"
 NEGATIVE_FLAG = "negative_numeric_value"
 BINARY_FLAG = "invalid_binary_value"
@@ -38,7 +39,7 @@ class ColumnSpec:
 
     @property
     def numeric(self) -> bool:
-        return self.kind in (INTEGER, DOUBLE)
+        return self.kind in (INTEGER, LONG, DOUBLE)
 
     @property
     def levels(self) -> tuple[str, ...]:
@@ -100,6 +101,8 @@ class TableSpec:
     positive_value: str | None = None
     label: str = "label"
     features: FeatureSpec | None = field(default=None, compare=False)
+    # Conditions that are counted in reports but reject nothing.
+    observed: dict[str, Callable[[], Column]] = field(default_factory=dict, compare=False)
 
     def __getitem__(self, name: str) -> ColumnSpec:
         for column in self.columns:

@@ -57,6 +57,7 @@ FEATURES = FeatureSpec(
     one_hot=("type_of_meal_plan", "room_type_reserved", "market_segment_type"),
     derived=(
         {
+            # Names of the derived features.
             "total_nights": lambda: fx.total("no_of_weekend_nights", "no_of_week_nights"),
             "total_guests": lambda: fx.total("no_of_adults", "no_of_children"),
             "has_children": lambda: fx.is_positive("no_of_children"),
@@ -107,6 +108,7 @@ def booking_spec(key: str = "booking_id") -> TableSpec:
             ColumnSpec("no_of_special_requests", INTEGER),
             ColumnSpec("booking_status", domain=STATUSES),
         ),
+        # Names of the flags and of the columns that the rules derive.
         date=DateRule(
             flag="invalid_arrival_date",
             year="arrival_year",
@@ -130,6 +132,7 @@ def booking_spec(key: str = "booking_id") -> TableSpec:
         positive_value="Canceled",
         label="booking_status_label",
         features=FEATURES,
+        observed={"non_positive_room_price": lambda: F.col("avg_price_per_room") <= 0},
     )
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from sievework.spec import DOUBLE, INTEGER, ColumnSpec, FeatureSpec, SumRule, TableSpec
+from sievework.spec import DOUBLE, INTEGER, LONG, ColumnSpec, FeatureSpec, SumRule, TableSpec
 
 ORDERS = TableSpec(
     name="orders",
     key="o_orderkey",
     columns=(
-        ColumnSpec("o_orderkey", INTEGER),
-        ColumnSpec("o_custkey", INTEGER),
+        ColumnSpec("o_orderkey", LONG),
+        ColumnSpec("o_custkey", LONG),
         ColumnSpec("o_orderstatus", domain=("F", "O", "P"), baseline="O"),
         ColumnSpec("o_totalprice", DOUBLE),
         ColumnSpec("o_orderdate"),
@@ -30,9 +30,9 @@ ORDERS = TableSpec(
 LINEITEM = TableSpec(
     name="lineitem",
     columns=(
-        ColumnSpec("l_orderkey", INTEGER),
-        ColumnSpec("l_partkey", INTEGER),
-        ColumnSpec("l_suppkey", INTEGER),
+        ColumnSpec("l_orderkey", LONG),
+        ColumnSpec("l_partkey", LONG),
+        ColumnSpec("l_suppkey", LONG),
         ColumnSpec("l_linenumber", INTEGER),
         ColumnSpec("l_quantity", DOUBLE),
         ColumnSpec("l_extendedprice", DOUBLE),
@@ -54,7 +54,7 @@ CUSTOMER = TableSpec(
     name="customer",
     key="c_custkey",
     columns=(
-        ColumnSpec("c_custkey", INTEGER),
+        ColumnSpec("c_custkey", LONG),
         ColumnSpec("c_name"),
         ColumnSpec("c_nationkey", INTEGER),
         ColumnSpec("c_acctbal", DOUBLE),
