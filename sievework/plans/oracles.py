@@ -5,7 +5,7 @@ from __future__ import annotations
 from sievework.plans.bookings_view import BOOKINGS_SQL
 from sievework.plans.queries import LINE_KEY, LINE_NUMBERS, PRICE_CUT
 from sievework.spec import DOUBLE, INTEGER, indicator_name
-from sievework.specs import BOOKING, ORDERS
+from sievework.specs import BOOKING, CUSTOMER, LINEITEM, ORDERS
 
 
 def _quoted(values) -> str:
@@ -174,7 +174,114 @@ def oracle_sql() -> dict[str, str]:
         ("c_acctbal", "double"), ("c_mktsegment", "string"),
     ]
     any_clean = f"SELECT count(*) FILTER (WHERE {ANY_RULE}) FROM flagged WHERE NOT {ANY_RULE}"
+    line_rules = {
+        "missing_required_value": " OR ".join(f"{c} IS NULL" for c in LINEITEM.names),
+        "no_discount_or_tax": "l_discount + l_tax <= 0",
+        "negative_numeric_value": " OR ".join(f"{c} < 0" for c in LINEITEM.numeric),
+        "invalid_category_value": " OR ".join(
+            f"{c} IS NULL OR {c} NOT IN ({_quoted(LINEITEM[c].domain)})" for c in LINEITEM.categorical
+        ),
+    }
+    customer_rules, order_rules = (
+        {
+            "missing_required_value": " OR ".join(f"{c} IS NULL" for c in spec.names),
+            "negative_numeric_value": "coalesce(" + " OR ".join(f"{c} < 0" for c in spec.numeric) + ", false)",
+            "invalid_category_value": " OR ".join(
+                f"{c} IS NULL OR {c} NOT IN ({_quoted(spec[c].domain)})" for c in spec.categorical
+            ),
+        }
+        for spec in (CUSTOMER, ORDERS)
+    )
+    order_rules["invalid_target_value"] = f"o_orderstatus IS NULL OR o_orderstatus NOT IN ({_quoted(ORDERS['o_orderstatus'].domain)})"
+    unknown = _each(
+        BOOKING.categorical,
+        lambda c: f"""SELECT DISTINCT '{c}' AS "column", {c} AS value FROM typed
+          WHERE {c} NOT IN ({_quoted(BOOKING[c].domain)})""",
+    )
+    rules = [(f, f"{f} = 1") for f in BOOKING.flags]
+    rules += [("any_rule", ANY_RULE), ("non_positive_room_price", "avg_price_per_room <= 0")]
+    test_labels = f"""SELECT {BOOKING.label} AS label, count(*) AS n FROM features
+      WHERE NOT ({_in_train('booking_id')}) GROUP BY 1"""
+    pairs = [*BOOKING.feature_names, BOOKING.label]
+    model_names = ("Decision Tree", "Random Forest", "Gradient Boosted Tree", "Logistic Regression")
+    metrics = f"""
+          classes AS (
+            SELECT k, count(*) FILTER (WHERE label = k)::double AS actual,
+              count(*) FILTER (WHERE prediction = k)::double AS predicted,
+              count(*) FILTER (WHERE label = k AND prediction = k)::double AS correct
+            FROM scored, (VALUES (0), (1)) AS v(k) GROUP BY k),
+          rates AS (SELECT *, coalesce(correct / nullif(predicted, 0), 0) AS p,
+                           coalesce(correct / nullif(actual, 0), 0) AS r FROM classes),
+          metrics AS (SELECT round(sum(correct) / sum(actual), 9) AS accuracy,
+            round(sum(p * actual) / sum(actual), 9) AS precision,
+            round(sum(r * actual) / sum(actual), 9) AS recall,
+            round(sum(coalesce(2 * p * r / nullif(p + r, 0), 0) * actual) / sum(actual), 9) AS f1_score
+          FROM rates)"""
     oracles = {
+        "clean_assertion_faults": _with(
+            "flagged",
+            ", faulty AS (SELECT * FROM flagged UNION ALL SELECT * FROM flagged WHERE no_of_adults = 1) "
+            + _each(
+                BOOKING.clean_names,
+                lambda c: f"""SELECT 'missing_value' AS "check", '{c}' AS "column",
+                  count(*) - count({c}) AS violations FROM faulty""",
+            )
+            + f" UNION ALL SELECT 'rejected_row', '*', count(*) FILTER (WHERE {ANY_RULE}) FROM faulty"
+            + " UNION ALL SELECT 'duplicate_key', 'booking_id', count(*) - count(DISTINCT booking_id) FROM faulty",
+        ),
+        "quality_report": _with(
+            "flagged",
+            _each(
+                rules,
+                lambda r: f"""SELECT 'violations' AS report, '{r[0]}' AS item,
+                  (count(*) FILTER (WHERE {r[1]}))::double AS value FROM flagged""",
+            )
+            + f""" UNION ALL SELECT 'duplicate_rows', '*', (SELECT count(*) FROM typed)
+                - (SELECT count(*) FROM (SELECT DISTINCT * FROM typed))::double
+              UNION ALL SELECT 'duplicate_keys', 'booking_id', (count(*) - count(DISTINCT booking_id))::double FROM typed
+              UNION ALL SELECT 'unknown_labels', "column" || '=' || value, 1 FROM ({unknown})""",
+        ),
+        "full_profile": _with(
+            "typed",
+            "SELECT 'shape' AS report, 'rows' AS item, count(*)::double AS value FROM typed UNION ALL "
+            + _each(BOOKING.names, lambda c: f"SELECT 'nulls', '{c}', (count(*) - count({c}))::double FROM typed")
+            + " UNION ALL "
+            + _each(
+                BOOKING.categorical,
+                lambda c: f"SELECT 'categories', concat_ws('=', '{c}', {c}), count(*)::double FROM typed GROUP BY {c}",
+            )
+            + f""" UNION ALL SELECT 'target', {BOOKING.target},
+                round(count(*) * 100.0::double / sum(count(*)) OVER (), 2) FROM typed GROUP BY {BOOKING.target} UNION ALL """
+            + _each(BOOKING.numeric, lambda c: f"SELECT 'numbers', '{c}', round(avg({c}), 6) FROM typed"),
+        ),
+        "duplicate_rows_fingerprint": f"""{duplicates} FROM (SELECT count(*) AS n FROM (
+            SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS a,
+                   CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS b FROM orders) GROUP BY a, b)""",
+        "clean_target_distribution": _with("clean", _distribution("clean", BOOKING.target)),
+        "hash_split_total": """SELECT count(*) AS rows, count(*) - count(DISTINCT o_orderkey) AS shared FROM orders""",
+        "correlation_report": _with(
+            "features",
+            "SELECT feature_a, feature_b, CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) + 0.0 END AS r FROM ("
+            + _each(
+                [(a, b) for i, a in enumerate(pairs) for b in pairs[i + 1 :]],
+                lambda e: f"SELECT '{e[0]}' AS feature_a, '{e[1]}' AS feature_b, corr({e[0]}, {e[1]}) AS r FROM features",
+            )
+            + ")",
+        ),
+        "model_label_totals": _with(
+            "features",
+            f"""SELECT model, label::integer AS label, n AS rows FROM ({test_labels}),
+            (VALUES {', '.join(f"('{m}')" for m in model_names)}) AS m(model)""",
+        ),
+        "rescored_rows": _with("features", f"SELECT label, n AS agreed FROM ({test_labels})"),
+        "report_files": f"""WITH {SCORED}, {metrics}
+          SELECT 'actual_label_distribution' AS report, label::varchar AS item,
+            round(count(*) * 100.0::double / sum(count(*)) OVER (), 2) AS value FROM scored GROUP BY label
+          UNION ALL SELECT 'prediction_distribution', prediction::integer::varchar,
+            round(count(*) * 100.0::double / sum(count(*)) OVER (), 2) FROM scored GROUP BY prediction
+          UNION ALL SELECT 'confusion_matrix', label || '/' || prediction::integer, count(*)::double
+            FROM scored GROUP BY label, prediction
+          UNION ALL SELECT 'metrics', metric, value FROM (UNPIVOT metrics ON COLUMNS(*) INTO NAME metric VALUE value)""",
         "schema_audit": _each(
             enumerate(customer_types, 1),
             lambda e: f"""SELECT {e[0]} AS position, '{e[1][0]}' AS "column", '{e[1][1]}' AS type,
@@ -199,8 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "violation_summary": _with(
             "flagged",
             _each(
-                [(f, f"{f} = 1") for f in BOOKING.flags]
-                + [("any_rule", ANY_RULE), ("non_positive_room_price", "avg_price_per_room <= 0")],
+                rules,
                 lambda r: f"SELECT '{r[0]}' AS rule, count(*) FILTER (WHERE {r[1]}) AS violations FROM flagged",
             ),
         ),
@@ -223,25 +329,14 @@ def oracle_sql() -> dict[str, str]:
             + " UNION ALL SELECT 'duplicate_key', 'booking_id', count(*) - count(DISTINCT booking_id) FROM clean",
         ),
         "generic_rules_lineitem": _each(
-            [
-                ("missing_required_value", "false"),
-                ("no_discount_or_tax", "l_discount + l_tax <= 0"),
-                ("negative_numeric_value", " OR ".join(f"{c} < 0" for c in (*LINE_NUMBERS, *LINE_KEY, "l_partkey", "l_suppkey"))),
-                ("invalid_category_value", "l_returnflag NOT IN ('A', 'N', 'R') OR l_linestatus NOT IN ('F', 'O')"),
-                ("any_rule", "l_discount + l_tax <= 0 OR " + " OR ".join(f"{c} < 0" for c in LINE_NUMBERS)),
-            ],
+            [*line_rules.items(), ("any_rule", " OR ".join(f"coalesce({r}, false)" for r in line_rules.values()))],
             lambda r: f"SELECT '{r[0]}' AS rule, count(*) FILTER (WHERE {r[1]}) AS violations FROM lineitem",
         ),
-        "negative_numeric_customer": """SELECT c_custkey, 0 AS missing_required_value,
-          1 AS negative_numeric_value, 0 AS invalid_category_value FROM customer WHERE c_acctbal < 0""",
-        "unknown_labels": _with(
-            "typed",
-            _each(
-                BOOKING.categorical,
-                lambda c: f"""SELECT DISTINCT '{c}' AS "column", {c} AS value FROM typed
-                  WHERE {c} NOT IN ({_quoted(BOOKING[c].domain)})""",
-            ),
-        ),
+        "negative_numeric_customer": f"""SELECT c_custkey, {', '.join(f'cast({r} AS integer) AS {n}' for n, r in customer_rules.items())}
+          FROM customer WHERE {' OR '.join(f'({r})' for r in customer_rules.values())}""",
+        "large_keys": f"""SELECT o_orderkey + 6000000000 AS o_orderkey,
+          {', '.join(f'cast({r} AS integer) AS {n}' for n, r in order_rules.items())} FROM orders""",
+        "unknown_labels": _with("typed", unknown),
         "null_counts": _with(
             "typed",
             _each(
@@ -344,19 +439,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT label, prediction, count(*) AS count FROM scored GROUP BY 1, 2""",
         "label_distribution": f"WITH {SCORED} {_distribution('scored', 'label')}",
         "prediction_distribution": f"WITH {SCORED} {_distribution('scored', 'prediction')}",
-        "classification_metrics": f"""WITH {SCORED},
-          classes AS (
-            SELECT k, count(*) FILTER (WHERE label = k)::double AS actual,
-              count(*) FILTER (WHERE prediction = k)::double AS predicted,
-              count(*) FILTER (WHERE label = k AND prediction = k)::double AS correct
-            FROM scored, (VALUES (0), (1)) AS v(k) GROUP BY k),
-          rates AS (SELECT *, coalesce(correct / nullif(predicted, 0), 0) AS p,
-                           coalesce(correct / nullif(actual, 0), 0) AS r FROM classes)
-          SELECT round(sum(correct) / sum(actual), 9) AS accuracy,
-            round(sum(p * actual) / sum(actual), 9) AS precision,
-            round(sum(r * actual) / sum(actual), 9) AS recall,
-            round(sum(coalesce(2 * p * r / nullif(p + r, 0), 0) * actual) / sum(actual), 9) AS f1_score
-          FROM rates""",
+        "classification_metrics": f"WITH {SCORED}, {metrics} SELECT * FROM metrics",
         "roc_auc": _areas("score", "positives, negatives, roc_auc"),
         "pr_auc": _areas("floor(score / 1000)", "positives, negatives, pr_auc"),
         "binned_areas": _areas("score", "roc_auc, pr_auc, 1 AS roc_auc_close, 1 AS pr_auc_close"),

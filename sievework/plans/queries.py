@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from sievework.operators import (
     profile,
     quality,
     ranking,
+    reports,
     scaling,
     split,
     training,
@@ -33,6 +35,7 @@ from sievework.sources import (
     read_table,
     save_model,
     scratch_dir,
+    small_table,
     table_counts,
     write_csv,
     write_table,
@@ -204,9 +207,70 @@ def negative_numeric_customer(spark, sf_dir):
     return quality.rejection_report(flagged, CUSTOMER)
 
 
+@query
+def clean_assertion_faults(spark, sf_dir):
+    """The same checks over rows that are not clean: nothing filtered, some rows doubled."""
+    rows = flagged_bookings(spark, sf_dir).select(BOOKING.clean_names)
+    doubled = rows.unionByName(rows.where("no_of_adults = 1"))
+    return quality.clean_violations(doubled, BOOKING)
+
+
+@query
+def large_keys(spark, sf_dir):
+    """Keys beyond 32 bits, from text through the rules."""
+    raw = table(spark, sf_dir, "orders").withColumn("o_orderkey", F.col("o_orderkey") + 6_000_000_000)
+    flagged = quality.flag_rows(raw.select([F.col(c).cast("string") for c in ORDERS.names]), ORDERS)
+    return flagged.select("o_orderkey", *[F.col(f).cast("int").alias(f) for f in ORDERS.flags])
+
+
 # --- profile -----------------------------------------------------------------------------
 
 
+def _findings(reports, parts):
+    """(report, item, value) rows of several reports: item and value are columns of each."""
+    rows = [
+        reports[name].select(
+            F.lit(name).alias("report"), item.cast("string").alias("item"), value.cast("double").alias("value")
+        )
+        for name, item, value in parts
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@query
+def quality_report(spark, sf_dir):
+    """Violations, observed conditions, duplicates and unknown labels of the raw bookings."""
+    found = reports.full_profile(typed_bookings(spark, sf_dir), BOOKING)
+    return _findings(
+        found,
+        [
+            ("violations", F.col("rule"), F.col("violations")),
+            ("duplicate_rows", F.lit("*"), F.col("duplicates")),
+            ("duplicate_keys", F.lit(BOOKING.key), F.col("duplicates")),
+            ("unknown_labels", F.concat_ws("=", "column", "value"), F.lit(1)),
+        ],
+    )
+
+
+@query
+def full_profile(spark, sf_dir):
+    """Shape, NULLs, categories, target shares and means of the raw bookings."""
+    found = reports.full_profile(typed_bookings(spark, sf_dir), BOOKING)
+    return _findings(
+        found,
+        [
+            ("shape", F.lit("rows"), F.col("rows")),
+            ("nulls", F.col("column"), F.col("nulls")),
+            ("categories", F.concat_ws("=", "column", "value"), F.col("count")),
+            ("target", F.col(BOOKING.target), F.col("percentage")),
+            ("numbers", F.col("column"), F.round("mean", 6)),
+        ],
+    )
+
+
 @query
 def unknown_labels(spark, sf_dir):
     return profile.unknown_labels(typed_bookings(spark, sf_dir), BOOKING)
@@ -264,6 +328,16 @@ def duplicate_documents(spark, sf_dir):
     return profile.duplicate_rows(documents, fingerprint=True)
 
 
+@query
+def duplicate_rows_fingerprint(spark, sf_dir):
+    """Rows that differ only in which of two columns is NULL."""
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey") % 3
+    rows = table(spark, sf_dir, "orders").select(
+        F.when(key != 0, status).alias("a"), F.when(key != 1, status).alias("b")
+    )
+    return profile.duplicate_rows(rows, fingerprint=True)
+
+
 @query
 def duplicate_keys(spark, sf_dir):
     return profile.duplicate_keys(table(spark, sf_dir, "lineitem"), LINE_KEY)
@@ -279,6 +353,11 @@ def retention_summary(spark, sf_dir):
     return profile.retention_summary(flagged_bookings(spark, sf_dir), BOOKING)
 
 
+@query
+def clean_target_distribution(spark, sf_dir):
+    return profile.value_distribution(clean_bookings(spark, sf_dir), BOOKING.target)
+
+
 # --- features, split, scaling, correlation -----------------------------------------------
 
 
@@ -305,6 +384,15 @@ def hash_split_xxhash64(spark, sf_dir):
     return split.split_sizes(table(spark, sf_dir, "orders"), "o_orderkey")
 
 
+@query
+def hash_split_total(spark, sf_dir):
+    """Both sides of the default split together, and the keys on both of them."""
+    train, test = split.hash_split(table(spark, sf_dir, "orders"), "o_orderkey")
+    both = train.select("o_orderkey").unionByName(test.select("o_orderkey"))
+    shared = train.join(test, "o_orderkey", "left_semi").agg(F.count(F.lit(1)).alias("shared"))
+    return both.agg(F.count(F.lit(1)).alias("rows")).withColumn("shared", shared.scalar())
+
+
 @query
 def hash_split_md5(spark, sf_dir):
     train, test = split.hash_split(table(spark, sf_dir, "orders"), "o_orderkey", method="md5")
@@ -353,6 +441,16 @@ def pairwise_correlation(spark, sf_dir):
     return rounded(found, 6, "r")
 
 
+@query
+def correlation_report(spark, sf_dir):
+    """Every correlation with the label and every pair, from one matrix."""
+    target, pairs = correlation.correlation_report(
+        booking_features(spark, sf_dir), BOOKING.feature_names, BOOKING.label, None, None
+    )
+    target = target.select(F.col("feature").alias("feature_a"), F.lit(BOOKING.label).alias("feature_b"), "r")
+    return target.unionByName(pairs).withColumn("r", F.round("r", 6) + 0.0)
+
+
 # --- evaluation of a rule-based prediction -----------------------------------------------
 
 
@@ -442,6 +540,44 @@ def best_model(spark, sf_dir):
     return matrix.select(F.lit(chosen.best.name).alias("model"), "*")
 
 
+@query
+def model_label_totals(spark, sf_dir):
+    """Test rows by label in the confusion matrix of each of the four models."""
+    chosen = modelling.compare_models(*model_tables(spark, sf_dir), BOOKING)
+    cells = [(m.name, *cell) for m in chosen.models for cell in m.cells]
+    rows = small_table(spark, cells, "model string, label double, prediction double, count bigint")
+    return rows.groupBy("model", F.col("label").cast("int").alias("label")).agg(F.sum("count").alias("rows"))
+
+
+@query
+def two_models_from_file(spark, sf_dir):
+    """The submitted job: a CSV file, both models, rows with NULLs refused, the better one saved."""
+    path = scratch_dir(spark)
+    write_csv(bookings(spark, sf_dir), f"{path}/raw")
+    return modelling.train_two_from_csv(
+        spark, f"{path}/raw", BOOKING, f"{path}/work", f"{path}/model"
+    ).comparison
+
+
+@query
+def rescored_rows(spark, sf_dir):
+    """Test rows by label on which a saved and reloaded regression and its stored coefficients,
+    as a column expression, agree."""
+    train, test = model_tables(spark, sf_dir)
+    columns = modelling.model_columns(train, BOOKING)
+    with training.kept(training.assemble(train, columns, BOOKING.label)) as (rows,):
+        model = training.two_models()["Logistic Regression"].fit(rows)
+    path = scratch_dir(spark)
+    save_model(model, path)
+    model = load_model(spark, path)
+    terms = {r["term"]: r["value"] for r in inspection.coefficients(spark, model, columns).collect()}
+    odds = sum((F.col(c) * terms[c] for c in columns), F.lit(terms["(intercept)"]))
+    by_hand = test.withColumn("by_hand", (odds > 0).cast("double"))
+    scored = model.transform(VectorAssembler(inputCols=columns, outputCol="features").transform(by_hand))
+    agreed = F.count_if(F.col("by_hand") == F.col("prediction")).alias("agreed")
+    return scored.groupBy(F.col(BOOKING.label).alias("label")).agg(agreed)
+
+
 def _fitted(spark, sf_dir, estimator):
     train, _ = model_tables(spark, sf_dir)
     columns = modelling.model_columns(train, BOOKING)
@@ -527,6 +663,33 @@ def written_table_counts(spark, sf_dir):
     return counts.withColumn("table", F.substring_index("table", ".", -1))
 
 
+@query
+def report_files(spark, sf_dir):
+    """Distributions, confusion matrix and metrics as CSV reports, read back."""
+    path = scratch_dir(spark)
+    matrix = evaluation.confusion_matrix(scored_orders(spark, sf_dir))
+    written = {
+        "actual_label_distribution": evaluation.distribution_in_matrix(matrix, "label"),
+        "prediction_distribution": evaluation.distribution_in_matrix(matrix, "prediction"),
+        "confusion_matrix": matrix,
+        "metrics": rounded(evaluation.classification_metrics(matrix), 9, *evaluation.METRICS),
+    }
+    for name, df in written.items():
+        write_csv(df, f"{path}/{name}", single_file=True)
+    back = {n: read_csv_inferred(spark, f"{path}/{n}") for n in written}
+    back["metrics"] = back["metrics"].unpivot([], list(evaluation.METRICS), "metric", "value")
+    label, prediction = F.col("label").cast("int"), F.col("prediction").cast("int")
+    return _findings(
+        back,
+        [
+            ("actual_label_distribution", label, F.col("percentage")),
+            ("prediction_distribution", prediction, F.col("percentage")),
+            ("confusion_matrix", F.concat_ws("/", label, prediction), F.col("count")),
+            ("metrics", F.col("metric"), F.col("value")),
+        ],
+    )
+
+
 @query
 def result_files(spark, sf_dir):
     """Confusion matrix written as a CSV report and read back."""

@@ -18,6 +18,7 @@ WITHOUT_ORACLE = {
     "hash_split_xxhash64",
     "model_comparison",
     "two_model_comparison",
+    "two_models_from_file",
     "best_model",
     "feature_importance",
     "model_nodes",
