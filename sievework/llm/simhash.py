@@ -150,16 +150,23 @@ def distinct_documents(
 ) -> DataFrame:
     """The documents without near copies: of each group only the one with the smallest id stays, whole.
 
-    Of repeated rows with that id the one with the smallest text stays. The columns are those of the input.
+    Of several rows with that id the one whose text has the smallest hash stays, of equal rows the first.
+    The choice is made on narrow rows; the documents themselves are shuffled once, to drop the others. The columns
+    are those of the input.
     """
-    row = F.struct(*docs.columns).alias("row")
-    kept = written(docs.select(row, fingerprint(F.col(text), width).alias("fp")), "printed")
-    groups = grouped(kept.select(F.col(f"row.{doc_id}").alias("doc_id"), "fp"), crowd)
-    first = Window.partitionBy("root").orderBy(F.col(f"row.{text}"), "fp")
-    return (
-        kept.join(groups, "fp")
-        .where(F.col(f"row.{doc_id}").eqNullSafe(F.col("component_id")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    printed = docs.select(
+        row, fingerprint(F.col(text), width).alias("fp"), F.xxhash64(text).alias("tie"),
+        F.monotonically_increasing_id().alias("row_no"),
+    )
+    printed = written(printed, "printed")  # the numbers of the rows hold from here on
+    narrow = written(printed.select("row_no", F.col(f"row.`{doc_id}`").alias("doc_id"), "fp", "tie"), "narrow")
+    groups = grouped(narrow.select("doc_id", "fp"), crowd)
+    first = Window.partitionBy("root").orderBy("tie", "row_no")
+    kept = (
+        narrow.join(groups, "fp")
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .withColumn("place", F.row_number().over(first))
         .where("place = 1")
-        .select("row.*")
     )
+    return printed.join(kept.select("row_no"), "row_no", "left_semi").select("row.*")
