@@ -256,7 +256,8 @@ def repeats(
         lambda it: anchor_rows(it, length, gram), longs(["t1", "t2", "s", "e", "a", "g", "h"]) + " long"
     )
     anchors = written(anchors, "anchors")
-    shared = anchors.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    # A written table on one side and a plain shuffle on the other: a join that splits a very common gram.
+    shared = written(anchors.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "shared")
     common = written(anchors.join(shared, "g"), "common")
     first = F.min(F.struct("t1", "t2", "s", "e", "a")).alias("at")
     contexts = common.groupBy("g", "h").agg(F.count("*").alias("n"), first)
