@@ -167,7 +167,8 @@ def nearest_share(rows: DataFrame, keys: Sequence[str], share: float) -> DataFra
     group = Window.partitionBy(*keys)
     counts = counts.withColumn("until", F.sum("n").over(group.orderBy("cell"))).withColumn("all", F.sum("n").over(group))
     edge = counts.where(F.col("until") >= F.ceil(F.col("all") * share)).groupBy(*keys).agg(F.min("cell").alias("edge"))
-    return rows.join(edge, list(keys)).where("cell <= edge")
+    # One narrow row per key, written so that its size is known where the join is planned.
+    return rows.join(written(edge, "edges"), list(keys)).where("cell <= edge")
 
 
 def determinants(
@@ -249,13 +250,10 @@ def judged(
         found.where(f"level = {n}").select(*by, F.struct(*factors).alias(f"g{n}"))
         for n, by in enumerate((["lang", "source"], ["lang"], []))
     ]
-    whole = levels[2].withColumn("one", F.lit(1))
     judged = (
-        stats.withColumn("one", F.lit(1))
-        .join(levels[0], ["lang", "source"], "left")
+        stats.join(levels[0], ["lang", "source"], "left")
         .join(levels[1], ["lang"], "left")
-        .join(whole, ["one"], "left")
-        .withColumn("g", F.coalesce("g0", "g1", "g2"))
+        .withColumn("g", F.coalesce("g0", "g1", levels[2].select("g2").scalar()))
     )
     judged = distance(judged.select(*stats.columns, "g.*"), "distance")
     fine = ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= chi2_quantile(1 - tail, D)))
