@@ -264,12 +264,13 @@ def repeats(
     contexts = written(contexts, "contexts")
     known = contexts.where("n > 1").select("g", "h")
     settled = common.join(known, ["g", "h"]).select("t1", "t2", "s", (F.col("e") + length).alias("e"))
-    variety = contexts.groupBy("g").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    # Written, like all narrow sides below, so that the joins can split a gram or text that is very common.
+    variety = written(contexts.groupBy("g").agg(F.count("*").alias("contexts")).where("contexts > 1"), "variety")
     edges = contexts.join(variety, "g").select(
         "at.*", "g", "h", (F.col("n") > 1).alias("known"), (F.col("contexts") > crowd).alias("hot")
     )
     wanted = edges.groupBy("t1", "t2").agg(F.collect_list(F.struct("s", "e", "a", "g", "h", "known", "hot")).alias("wanted"))
-    held = texts.join(wanted, ["t1", "t2"]).select("t1", "t2", F.encode("text", "UTF-8").alias("data"), F.explode("wanted").alias("w"))
+    held = texts.join(written(wanted, "wanted"), ["t1", "t2"]).select("t1", "t2", F.encode("text", "UTF-8").alias("data"), F.explode("wanted").alias("w"))
     cut = F.substring(F.col("data"), (F.col("w.s") + 1).cast("int"), (F.col("w.e") - F.col("w.s") + length).cast("int"))
     held = written(held.select("t1", "t2", "w.*", cut.alias("bytes")), "edges")
     quiet = held.where("NOT hot").drop("hot").repartition("g").sortWithinPartitions("g")
@@ -329,31 +330,27 @@ def cut_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def repeat_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document.
 
-    Texts without a removal, or with nothing left, never leave the scan: their digest is a built-in
+    Texts without a removal, or with nothing left, are not shuffled: their digest is a built-in
     expression. Defined cases: a null text counts as empty; texts under ``length`` bytes lose nothing, nor can any match cross
     documents; repeated rows of that length lose everything; other columns are ignored; an empty table gives no rows.
     """
     gone = repeats(docs, text, **options)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = texts.select("doc_id", *text_key(F.col("text")), "text")
-    heads = texts.select(
-        "doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")
-    )
-    partly = texts.drop("doc_id").join(gone.where("NOT whole").select("t1", "t2", "spans"), ["t1", "t2"])
-    partly = partly.select("t1", "t2", cut_report("text", "spans").alias("r")).select("t1", "t2", "r.*")
-    wholly = gone.where("whole").select("t1", "t2", F.lit(True).alias("whole"))
-    empty = F.sha2(F.lit(""), 256)
-    return (
-        heads.join(partly, ["t1", "t2"], "left")
-        .join(wholly, ["t1", "t2"], "left")
-        .select(
-            "doc_id",
-            "n_bytes",
-            F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-            F.when(F.col("whole"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-            F.when(F.col("whole"), empty).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        )
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    heads = texts.select("doc_id", "t1", "t2", size, F.sha2("text", 256).alias("sha"))
+    heads = heads.join(gone.select("t1", "t2", "whole"), ["t1", "t2"], "left").where("whole IS NULL OR whole")
+    lost = F.col("whole").isNotNull()
+    rest = heads.select(
+        "doc_id",
+        "n_bytes",
+        F.when(lost, F.col("n_bytes")).otherwise(0).cast("long").alias("n_removed"),
+        F.when(lost, 1).otherwise(0).cast("long").alias("n_spans"),
+        F.when(lost, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
     )
+    partly = texts.join(gone.where("NOT whole").select("t1", "t2", "spans"), ["t1", "t2"])
+    partly = partly.select("doc_id", size, cut_report("text", "spans").alias("r")).select("doc_id", "n_bytes", "r.*")
+    return rest.unionByName(partly)
 
 
 def without_repeats(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
