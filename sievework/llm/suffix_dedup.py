@@ -245,7 +245,7 @@ def repeats(
     1. Every window of a text belongs to an anchor, a gram of bytes chosen by content alone, so equal
        windows have equal anchors. A run of windows with one anchor is a context of some 560 bytes; one narrow row
        stands for it. 2. Grams that occur once are dropped. Contexts that occur twice or more
-       are repeated throughout: an aggregate settles the inside of copied passages. 3. What is left are grams with different contexts,
+       are repeated throughout: aggregates settle the inside of copied passages, most of it by gram alone. 3. What is left are grams with different contexts,
        at the edges of copied passages. The bytes of each different context go to the gram's task once,
        which builds a suffix array over them. Grams shared by more than ``crowd`` contexts are not gathered;
        their windows are counted by hash instead, spread over all tasks.
@@ -257,13 +257,17 @@ def repeats(
     )
     anchors = written(anchors, "anchors")
     # A written table on one side and a plain shuffle on the other: a join that splits a very common gram.
-    shared = written(anchors.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "shared")
-    common = written(anchors.join(shared, "g"), "common")
+    grams = anchors.groupBy("g").agg(F.count("*").alias("n"), (F.min("h") == F.max("h")).alias("alike"))
+    grams = written(grams.where("n > 1").select("g", "alike"), "grams")
+    common = written(anchors.join(grams, "g"), "common")
+    # Inside a copied passage a gram has one context only, and that settles it; the others are looked at one by one.
+    mixed = common.where("NOT alike")
     first = F.min(F.struct("t1", "t2", "s", "e", "a")).alias("at")
-    contexts = common.groupBy("g", "h").agg(F.count("*").alias("n"), first)
+    contexts = mixed.groupBy("g", "h").agg(F.count("*").alias("n"), first)
     contexts = written(contexts, "contexts")
     known = contexts.where("n > 1").select("g", "h")
-    settled = common.join(known, ["g", "h"]).select("t1", "t2", "s", (F.col("e") + length).alias("e"))
+    span = ("t1", "t2", "s", (F.col("e") + length).alias("e"))
+    settled = common.where("alike").select(*span).unionByName(mixed.join(known, ["g", "h"]).select(*span))
     # Written, like all narrow sides below, so that the joins can split a gram or text that is very common.
     variety = written(contexts.groupBy("g").agg(F.count("*").alias("contexts")).where("contexts > 1"), "variety")
     edges = contexts.join(variety, "g").select(
