@@ -1,0 +1,72 @@
+"""The near-copy stage against brute force over exact similarities of five-word shingles."""
+
+import random
+
+import pytest
+from sievework.llm import near_copies, simhash
+
+
+def plain_kept(rows):
+    """Smallest ids of the groups that similarities of 0.8 or more link, by comparing all pairs."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[find(i)] = min(doc_id, least.get(find(i), doc_id))
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize("stars", [0, 2])
+def test_all_pairs_from_0_8_on_are_found(spark, docs_of, stars):
+    rng = random.Random(8)
+    line = "a line that very many of these documents share with one another at some place"
+    rows = []
+    for family in range(12):
+        n = rng.choice([12, 40, 150])
+        base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        for copy in range(8):
+            words = list(base)
+            for _ in range(rng.randrange(0, max(2, n // 20))):
+                words[rng.randrange(n)] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(words) + (" " + line if family % 2 else "")))
+    rows += [(1000, line), (1001, line.upper()), (1002, ""), (1003, None), (1004, "two words"), (1005, "Two  words")]
+    rng.shuffle(rows)
+    expected = plain_kept(rows)
+    docs = docs_of(*rows)
+    kept = near_copies.distinct_documents(docs, stars=stars)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == expected
+    assert sorted(r["doc_id"] for r in simhash.distinct_documents(docs).collect()) != expected  # two bits miss some
+
+
+def test_table_against_brute_force(small_docs):
+    rows = [(r["doc_id"], r["text"]) for r in small_docs.collect()]
+    assert sorted(r["doc_id"] for r in near_copies.distinct_documents(small_docs).collect()) == plain_kept(rows)
+
+
+def test_empty_and_odd_tables(docs_of, with_clashes):
+    docs = with_clashes(docs_of((5, None), (4, ""), (9, "one"), (8, "ONE"), (7, "one two"), (7, "one two"), (None, "one two")))
+    assert sorted(r["doc_id"] for r in near_copies.distinct_documents(docs).collect()) == [4, 7, 8]
+    assert near_copies.distinct_documents(docs.where("false")).count() == 0
+
+
+def test_the_pipelines_stage_reaches_0_8(spark, docs_of):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:50], "other", *words[51:]]  # 91 of 101 five-word shingles in common
+    docs = docs_of((1, " ".join(words)), (2, " ".join(near)), (3, "something else"))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == [1, 3]
