@@ -21,6 +21,8 @@ VECTOR = ("word_length", "symbols", "dup_lines", "repeats")
 FLOORS = (0.25, 0.05, 0.08, 0.08)
 UNIT = 10_000
 D = len(VECTOR)
+# Rows from which a group has an estimate, five for each dimension and some; rows that the estimate above counts as in it.
+LEAST, PRIOR = 25, 50
 
 
 def base_statistics(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -114,6 +116,42 @@ def chi2_quantile(p: float, d: int) -> float:
     return low
 
 
+def factored(out: DataFrame) -> DataFrame:
+    """Adds the lower Cholesky factor l00.. of the matrix c00.. as columns."""
+    for j in range(D):
+        inner = sum((F.col(f"l{j}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
+        out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(f"c{j}{j}") - inner, F.lit((FLOORS[j] * UNIT) ** 2 / 4))))
+        for i in range(j + 1, D):
+            dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
+            out = out.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}"))
+    return out
+
+
+def shrunk(found: DataFrame, prior: int) -> DataFrame:
+    """The estimates with the covariance of each group drawn towards that of the level above, as if it brought ``prior`` rows.
+
+    A group of m rows keeps m / (m + prior) of its own covariance, so nothing switches at a number of rows. Centres
+    stay: they need few rows, and a small source may have its own. Languages draw on all, sources on their language.
+    """
+    pairs = [(i, j) for i in range(D) for j in range(i + 1)]
+    cov = [sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j + 1)), F.lit(0.0)) for i, j in pairs]
+    found = found.select("level", "lang", "source", "m", *[f"mu{i}" for i in range(D)], F.array(*cov).alias("own"))
+    weight = F.col("m") / (F.col("m") + prior)
+
+    def drawn(own: Column, above: Column) -> Column:
+        one = [(F.get(own, F.lit(n)), F.get(above, F.lit(n))) for n in range(len(pairs))]
+        return F.array(*[x * weight + F.coalesce(y, x) * (1 - weight) for x, y in one])
+
+    over = found.where("level = 2")
+    langs = found.where("level = 1").withColumn("above", over.select("own").scalar())
+    langs = langs.withColumn("own", drawn(F.col("own"), F.col("above"))).drop("above")
+    above = langs.select("lang", F.col("own").alias("above"))
+    sources = found.where("level = 0").join(above, "lang", "left").withColumn("own", drawn(F.col("own"), F.col("above")))
+    out = over.unionByName(langs).unionByName(sources.drop("above"))
+    out = factored(out.select("*", *[F.get("own", F.lit(n)).alias(f"c{i}{j}") for n, (i, j) in enumerate(pairs)]))
+    return out.select("level", "lang", "source", "m", *[f"mu{i}" for i in range(D)], *[f"l{i}{j}" for i, j in pairs])
+
+
 def moments(rows: DataFrame, keys: Sequence[str], scale: float) -> DataFrame:
     """Per key: count m, means mu0.., and the lower Cholesky factor l00.. of the covariance times ``scale`` plus the floors.
 
@@ -136,12 +174,7 @@ def moments(rows: DataFrame, keys: Sequence[str], scale: float) -> DataFrame:
             for i, j in pairs
         ],
     )
-    for j in range(D):
-        inner = sum((F.col(f"l{j}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-        out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(f"c{j}{j}") - inner, F.lit((FLOORS[j] * UNIT) ** 2 / 4))))
-        for i in range(j + 1, D):
-            dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            out = out.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}"))
+    out = factored(out)
     det = sum((F.log(f"l{i}{i}") * 2 for i in range(D)), F.lit(0.0))
     return out.withColumn("det", det).select(
         *keys, "m", "det", *[f"mu{i}" for i in range(D)], *[f"l{i}{j}" for i, j in pairs]
@@ -172,7 +205,7 @@ def nearest_share(rows: DataFrame, keys: Sequence[str], share: float) -> DataFra
 
 
 def determinants(
-    rows: DataFrame, *, share: float = 0.75, steps: int = 3, least: int = 200, trim: float = 0.99
+    rows: DataFrame, *, share: float = 0.75, steps: int = 3, least: int = LEAST, trim: float = 0.99, prior: int = PRIOR
 ) -> DataFrame:
     """Minimum-covariance-determinant estimates: one row per level, language and source.
 
@@ -180,7 +213,8 @@ def determinants(
     rows whose vector is near the coordinate-wise medians. Each goes through ``steps`` concentration steps (keep the
     share of rows nearest to the present estimate, estimate anew), and the start whose determinant ends
     smaller is taken. A last step re-estimates from the rows within the ``trim`` quantile. Groups are
-    languages with sources, languages, and all documents; the smaller ones are used only from ``least`` rows on.
+    languages with sources, languages, and all documents, each from the ``least`` rows on that a covariance needs; the
+    covariance of a small group is drawn towards that of the group above by its number of rows (``shrunk``).
     """
     keys = ["level", "lang", "source"]
     nothing = F.lit(None).cast("string")
@@ -214,20 +248,22 @@ def determinants(
         if step < steps - 1:
             state = state.drop("m", "det")
     best = Window.partitionBy(*keys).orderBy("det", "start")
-    raw = state.withColumn("place", F.row_number().over(best)).where("place = 1").drop("place", "start", "m", "det")
+    raw = state.withColumn("place", F.row_number().over(best)).where("place = 1").drop("place", "start", "det")
+    raw = written(shrunk(written(raw, "own"), prior), "raw").drop("m")
     inside = distance(keyed.join(raw, keys), "d2").where(F.col("d2") <= chi2_quantile(trim, D))
-    return written(moments(inside, keys, 1.0).where(f"level = 2 OR m >= {least // 2}"), "estimates")
+    final = written(moments(inside, keys, 1.0).where(f"level = 2 OR m >= {least // 2}"), "final")
+    return written(shrunk(final, prior), "estimates")
 
 
 def judged(
     docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
-    keep: Sequence[str] | None = None, tail: float = 1e-9, least: int = 200, share: float = 0.75,
+    keep: Sequence[str] | None = None, tail: float = 1e-9, least: int = LEAST, share: float = 0.75,
 ) -> DataFrame:
     """row, the base statistics, base_failed, distance (squared, robust) and kept for every document.
 
     A document that passes the base rules is kept if its distance from the centre of its language and
     source is within the chi-squared quantile that leaves ``tail``. Estimates are made from documents
-    that pass the base rules; a small group is judged by its language's, or by all documents'.
+    that pass the base rules; a group of under ``least`` of them is judged by its language's, or by all documents'.
 
     Built-in expressions only. Defined cases: a null or empty text has no words and fails the base rules; null
     languages and sources are groups like others; repeated rows are judged each; groups without spread use the

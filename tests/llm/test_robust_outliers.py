@@ -87,3 +87,17 @@ def test_chi_squared():
 def test_native_plan(small_docs):
     plan = ro.judged(small_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_small_source_has_its_own_estimate_beside_a_hot_one(docs_of):
+    rng = random.Random(7)
+
+    def prose(n, size):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(*size))) for _ in range(n))
+
+    rows = [(i, prose(rng.randint(60, 200), (2, 8)), "hot", "en") for i in range(400)]
+    rows += [(1000 + i, prose(120, (9, 15)), "small", "en") for i in range(60)]
+    rows += [(2000 + i, prose(120, (2, 8)), "small", "en") for i in range(5)]
+    kept = {r["row"]["doc_id"]: r["kept"] for r in ro.judged(docs_of(*rows)).collect()}
+    assert all(kept[1000 + i] for i in range(60)) and not any(kept[2000 + i] for i in range(5))
+    assert all(kept[i] for i in range(400))
