@@ -3,7 +3,7 @@
 BENCH_SF_DIR picks the data, BENCH_CPUS the number of local cores. Every query runs once to
 warm up, and the best of three further runs counts; results go to the no-op sink, so whole tables
 are computed and nothing is collected. Fits of models run twice and the second counts, the boosted
-trees also at sf0.01 where that is there.
+trees also at sf0.01 where that is there. A query that fails is named under "failed" and the others still count.
 """
 
 from __future__ import annotations
@@ -76,8 +76,8 @@ def run_query(spark: SparkSession, name: str) -> None:
     QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
 
 
-def train_times(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ()) -> dict[str, float]:
-    """Seconds to fit the named models, all four by default, on the persisted training rows."""
+def train_times(spark: SparkSession, sf_dir: str, times: dict, suffix: str = "", names: tuple[str, ...] = ()) -> None:
+    """Adds the seconds to fit each of the named models, all four by default, on the persisted training rows."""
     train, test = model_tables(spark, sf_dir)
     columns = modelling.model_columns(train, BOOKING)
     sides = [
@@ -87,25 +87,45 @@ def train_times(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ()) -
     models = training.four_models()
     with training.kept(*sides) as (train_ml, test_ml):
         train_ml.count(), test_ml.count()
-        for run in range(2):
-            fitted = training.train_models({n: models[n] for n in names or models}, train_ml, test_ml)
-    return {
-        f"fit_{r.name.lower().replace(' ', '_')}": round(r.training_seconds, 3) for r in fitted
-    }
+        for name in names or models:
+            key = f"fit_{name.lower().replace(' ', '_')}{suffix}"
+
+            def fit(name=name):
+                return training.train_models({name: models[name]}, train_ml, test_ml)[0].training_seconds
+
+            attempt(times, key, lambda: [round(fit(), 3) for _ in range(2)][-1])
+
+
+def attempt(times: dict, name: str, run) -> None:
+    """Adds the seconds that ``run`` returns, if any; a failure is noted as None and the rest goes on."""
+    try:
+        seconds = run()
+    except Exception as error:  # one failing query must not lose the figures of the others
+        times[name] = None
+        print(f"{name}: {str(error)[:300]}", file=sys.stderr, flush=True)
+        return
+    if seconds is not None:
+        times[name] = seconds
+        print(f"{name}: {seconds}", file=sys.stderr, flush=True)
+
+
+def best_time(spark: SparkSession, name: str) -> float:
+    run_query(spark, name)
+    return min(clock(lambda: run_query(spark, name)) for _ in range(RUNS))
 
 
 def main() -> None:
     spark = session()
-    times = {}
+    times: dict[str, float | None] = {}
     for name in HEADLINE:
-        run_query(spark, name)
-        times[name] = min(clock(lambda name=name: run_query(spark, name)) for _ in range(RUNS))
-        print(f"{name}: {times[name]}", file=sys.stderr, flush=True)
-    times |= train_times(spark, SF_DIR)
+        attempt(times, name, lambda: best_time(spark, name))
+    attempt(times, "fits", lambda: train_times(spark, SF_DIR, times))
     smaller = os.path.join(os.path.dirname(os.path.normpath(SF_DIR)), "sf0.01")
     if os.path.isdir(smaller) and os.path.normpath(SF_DIR) != smaller:
-        few = train_times(spark, smaller, ("Gradient Boosted Tree",))
-        times |= {f"{name}_sf0.01": seconds for name, seconds in few.items()}
+        few = ("Gradient Boosted Tree",)
+        attempt(times, "small_fits", lambda: train_times(spark, smaller, times, "_sf0.01", few))
+    failed = sorted(n for n, seconds in times.items() if seconds is None)
+    times = {n: seconds for n, seconds in times.items() if seconds is not None}
     print(
         json.dumps(
             {
@@ -113,6 +133,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "failed": failed,
                 "sf": os.path.basename(os.path.normpath(SF_DIR)).removeprefix("sf"),
             }
         )

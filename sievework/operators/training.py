@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -142,9 +142,23 @@ class Trained:
         return (self.name, *[round(x, digits) for x in scores], round(self.training_seconds, 2))
 
 
+def scoring_handle(model: Model) -> Model:
+    """The same fitted model without its training summary.
+
+    Scoring ships the model to the tasks. A summary holds on to the training rows and through them to the
+    session, which may have something in it that cannot be shipped (a session that used an ``Observation``
+    does). The handle shares the parameters; the model passed in keeps its summary.
+    """
+    handle = model.copy()
+    if getattr(handle, "hasSummary", False):
+        none = SparkContext._active_spark_context._jvm.scala.Option.empty()
+        handle._java_obj.setSummary(none)
+    return handle
+
+
 def score_rows(model: Model, test: DataFrame) -> DataFrame:
     """Test rows with label, prediction and rawPrediction."""
-    return model.transform(test).select("label", "prediction", "rawPrediction")
+    return scoring_handle(model).transform(test).select("label", "prediction", "rawPrediction")
 
 
 def positive_score(predictions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from sievework.operators import inspection, training
 from sievework.plans import modelling, prepare
@@ -80,6 +82,29 @@ def test_ensembles_reload(spark, tmp_path):
     assert load_model(spark, path).numFeatures == 1
 
 
+@pytest.fixture(scope="module")
+def line(spark):
+    rows = [(float(i % 2), float(i)) for i in range(200)]
+    return training.assemble(spark.createDataFrame(rows, "y double, x double"), ["x"], "y")
+
+
+def test_every_model_scores_in_a_session_with_an_observation(spark, line, tmp_path):
+    """Scoring ships no training summary, whatever the session holds by then."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 5}
+    results = training.train_models(training.four_models() | training.two_models(), line, line)
+    assert len(results) == 4 and all(sum(c[2] for c in r.cells) == 200 for r in results)
+    forest = results[1].model
+    assert forest.hasSummary and not training.scoring_handle(forest).hasSummary
+
+
+def test_a_forest_scores_after_a_csv_was_written(spark, line, tmp_path):
+    assert write_csv(spark.range(10), str(tmp_path / "csv")) == 10
+    forest = training.four_models()["Random Forest"].fit(line)
+    assert len(training.score_rows(forest, line).collect()) == 200
+
+
 def trained(name, auc):
     return training.Trained(name, None, auc, 0, 0, 0, 0, 0, 0)
 

@@ -37,6 +37,24 @@ def test_written_rows_with_line_breaks_are_counted(spark, tmp_path):
     assert writers.write_csv(df.limit(0), str(tmp_path / "csv"), single_file=True) == 0
 
 
+def test_rows_are_counted_without_the_record_of_the_write(spark, tmp_path, monkeypatch):
+    """The count comes from the commit; where the session keeps no record, the files are read."""
+    df = spark.range(5000).selectExpr("id", "concat('a', chr(10), id) AS t").orderBy("id")
+    assert writers.committed_rows(spark, "nothing of the kind") is None
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "stored_rows", lambda *_: pytest.fail("the files were read"))
+        assert writers.write_csv(df, str(tmp_path / "csv")) == 5000
+    monkeypatch.setattr(writers, "committed_rows", lambda *_: None)
+    assert writers.write_csv(df, str(tmp_path / "csv")) == 5000
+
+
+def test_a_write_leaves_the_job_description_alone(spark, tmp_path):
+    spark.sparkContext.setJobDescription("mine")
+    writers.write_csv(spark.range(3), str(tmp_path / "csv"))
+    assert spark.sparkContext.getLocalProperty("spark.job.description") == "mine"
+    spark.sparkContext.setJobDescription(None)
+
+
 def test_inferred_types_clean_alike(spark, make_rows, tmp_path):
     """Types inferred from the file do not change the result of the cleaning."""
     writers.write_csv(make_rows({}, {"avg_price_per_room": "0"}), str(tmp_path / "csv"))
