@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sievework.llm.common import components, words_of, written
 
@@ -95,9 +94,10 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
         fps.select("fp", counts.alias("counts"))
         .select("fp", "counts", F.explode(F.array(*[cell(n, b) for n, b in enumerate(layers)])).alias("at"))
         .select("fp", "counts", "at.layer", "at.cell")
-        .withColumn("n", F.count("*").over(Window.partitionBy("layer", "cell")))
     )
-    shared = written(placed.where("n > 1"), "cells")
+    # Counted with map-side combine and stored, so that the join can split a cell that very many share.
+    sizes = written(placed.groupBy("layer", "cell").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = written(placed.join(sizes, ["layer", "cell"]), "cells")
     quiet = shared.where(F.col("n") <= crowd)
     x, y = quiet.alias("x"), quiet.alias("y")
     near = x.join(
@@ -162,11 +162,10 @@ def distinct_documents(
     printed = written(printed, "printed")  # the numbers of the rows hold from here on
     narrow = written(printed.select("row_no", F.col(f"row.`{doc_id}`").alias("doc_id"), "fp", "tie"), "narrow")
     groups = grouped(narrow.select("doc_id", "fp"), crowd)
-    first = Window.partitionBy("root").orderBy("tie", "row_no")
     kept = (
         narrow.join(groups, "fp")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .withColumn("place", F.row_number().over(first))
-        .where("place = 1")
+        .groupBy("root")
+        .agg(F.min(F.struct("tie", "row_no")).alias("first"))
     )
-    return printed.join(kept.select("row_no"), "row_no", "left_semi").select("row.*")
+    return printed.join(kept.select("first.row_no"), "row_no", "left_semi").select("row.*")
