@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import mixing, near_copies as copies, packing, rule_quality, suffix_dedup
+from sievework.llm import mixing, packing, rule_quality, simhash, suffix_dedup
 from sievework.llm.common import documents, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return copies.distinct_documents(docs)
+    """One document of each group of near copies stays: fingerprints of three-word shingles, two bits at most."""
+    return simhash.distinct_documents(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
