@@ -7,7 +7,21 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import attention_lm, mixing, packing, robust_outliers, rule_quality, simhash, suffix_dedup, token_counts, topk, toxicity
+from sievework.llm import (
+    attention_lm,
+    collocations,
+    exact_dedup,
+    hard_negatives,
+    mixing,
+    packing,
+    robust_outliers,
+    rule_quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    topk,
+    toxicity,
+)
 from sievework.llm.common import documents
 
 
@@ -67,6 +81,21 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return exact_dedup.exact_duplicates(docs, exact_dedup.earlier_half(docs))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
         op1_simhash_groups,
         op2_robust_outliers,
@@ -78,6 +107,9 @@ QUERIES = {f.__name__: f for f in (
         op8_toxicity,
         op9_source_mix,
         op10_top_vectors,
+        op11_exact_duplicates,
+        op12_hard_negatives,
+        op13_collocations,
     )}
 
 ORACLES = {
@@ -124,4 +156,55 @@ ranked AS (
   SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
   FROM scored)
 SELECT * FROM ranked WHERE rank <= 5""",
+    "op11_exact_duplicates": r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT * FROM ranked WHERE rank <= 10""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM lists GROUP BY lang),
+starts AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM lists WHERE len(w) > 0),
+counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM starts, (VALUES (1), (2), (3), (4), (5)) AS lengths(k)
+  WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+stay AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts p
+  WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM counts q WHERE q.lang = p.lang AND q.k > p.k AND 100 * q.f >= 100 * p.f
+     AND contains(concat(' ', q.phrase, ' '), concat(' ', p.phrase, ' ')))),
+cuts AS (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM stay),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, t.n, (1000 * c.a * t.n) // (x.f * y.f) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000""",
 }
