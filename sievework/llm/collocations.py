@@ -17,7 +17,8 @@ LEAST = 100
 LONGEST = 5
 TOP = 2_000
 COUNTED = 200_000  # distinct words that a task holds before it hands on their counts
-PAIRED = 1 << 21  # adjacent pairs that a task counts at once
+AT_ONCE = 1 << 18  # occurrences that a task looks at at once; a longer document is looked at whole
+PAIRED = 1 << 20  # adjacent pairs that a task counts at once
 SHIPPED_WORDS = 1 << 19  # frequent words that are sent to the tasks; more are joined
 SHIPPED_GROUPS = 1 << 20  # frequent groups that are sent to the tasks; more are joined
 # The separators of pieces other than the full stop.
@@ -93,6 +94,18 @@ def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a relation in runs of about AT_ONCE occurrences."""
+    for batch in batches:
+        ends = batch.column(1).offsets.to_numpy()[1:].astype(np.int64)
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else batch.column(1).offsets[0].as_py()
+            to = max(at + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def merge_joined(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """(row, place, group, next group) of the merge join of a relation with itself on document and adjacent place.
 
@@ -103,7 +116,7 @@ def merge_joined(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     offsets = at.offsets.to_numpy()
     lo, hi = int(offsets[0]), int(offsets[-1])
     places, groups = at.values.to_numpy()[lo:hi], g.values.to_numpy()[int(g.offsets[0].as_py()) :][: hi - lo]
-    row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(offsets))
     meets = np.flatnonzero((places[1:] == places[:-1] + 1) & (row[1:] == row[:-1]))
     return row[meets], places[meets], groups[meets], groups[meets + 1]
 
@@ -117,17 +130,20 @@ def paired(first: np.ndarray, last: np.ndarray, groups: int) -> np.ndarray:
 
 def counted_pairs(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     """(first, last, n) of adjacent groups."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[np.ndarray] = []
     size = 0
 
     def out() -> pa.RecordBatch:
-        first, last = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        _, at, n = np.unique(paired(first, last, groups), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (first[at], last[at], n.astype(np.int64))], names=["first", "last", "n"])
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        if found.dtype.names:
+            first, last = found["first"], found["last"]
+        else:
+            first, last = np.divmod(found, np.int64(groups))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (first, last, n.astype(np.int64))], names=["first", "last", "n"])
 
-    for batch in batches:
+    for batch in slices(batches):
         _, _, first, last = merge_joined(batch)
-        held.append((first, last))
+        held.append(paired(first, last, groups))
         size += len(first)
         if size > PAIRED:
             yield out()
@@ -138,7 +154,7 @@ def counted_pairs(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa
 
 def extended_places(batches: Iterator[pa.RecordBatch], keys: np.ndarray, numbers: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
     """The occurrences of longer groups: those pairs of adjacent ones that are among the sorted ``keys``."""
-    for batch in batches:
+    for batch in slices(batches):
         row, at, first, last = merge_joined(batch)
         if len(keys):
             pair = paired(first, last, groups)
@@ -190,7 +206,7 @@ def next_relation(relation: DataFrame, groups: int, frequent: DataFrame, count:
     """R(k + 1) from R(k): adjacent places whose pair of groups is frequent. The semi join ships the frequent ones while they are few."""
     if count > shipped:
         def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 row, at, first, last = merge_joined(batch)
                 columns = [batch.column(0).take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array(first), pa.array(last)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_no", "at", "first", "last"])

@@ -3,8 +3,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 from sievework.llm import collocations
 
 
@@ -62,13 +63,26 @@ def test_random_texts(spark, docs_of, options):
     assert found(docs, least=5, **options) == plain(rows, 5)
 
 
-def test_pairs_beyond_64_bits(monkeypatch):
-    import numpy as np
-
-    first, last = np.array([3, 1, 3, 2**33]), np.array([1, 2, 1, 2**33 - 1])
-    keys = collocations.paired(first, last, 2**33 + 1)
-    _, at, n = np.unique(keys, return_index=True, return_counts=True)
-    assert sorted(zip(first[at].tolist(), last[at].tolist(), n.tolist())) == [(1, 2, 1), (3, 1, 2), (2**33, 2**33 - 1, 1)]
+@pytest.mark.parametrize("groups", [2**31, 2**33 + 1], ids=["one number", "two numbers"])
+def test_pairs_of_many_groups(groups):
+    top = groups - 1
+    batch = collocations.relation_batch(
+        pa.array([7, 8, 9], pa.int64()), [np.array([0, 1, 2, 4, 5]), np.array([], int), np.array([3, 4])],
+        [np.array([top, 1, 0, top, 1]), np.array([], int), np.array([0, top])],
+    )
+    found = [r for b in collocations.counted_pairs(iter([batch.slice(0, 2), batch.slice(2)]), groups) for r in b.to_pylist()]
+    assert sorted(map(tuple, map(dict.values, found))) == [(0, top, 1), (1, 0, 1), (top, 1, 2)]
+
+
+def test_relations_are_taken_in_slices(monkeypatch):
+    rng = np.random.default_rng(1)
+    at = [np.flatnonzero(rng.random(n) < 0.7) for n in (0, 5, 90, 3, 0, 40)]
+    batch = collocations.relation_batch(pa.array(range(6), pa.int64()), at, [x % 3 for x in at])
+    whole = [r for b in collocations.counted_pairs(iter([batch]), 3) for r in b.to_pylist()]
+    monkeypatch.setattr(collocations, "AT_ONCE", 10)
+    parts = list(collocations.slices(iter([batch.slice(1)])))
+    assert len(parts) > 2 and sum(p.num_rows for p in parts) == 5
+    assert [r for b in collocations.counted_pairs(iter([batch]), 3) for r in b.to_pylist()] == whole
 
 
 def test_repeats_in_a_piece_and_the_limit(spark, docs_of):
