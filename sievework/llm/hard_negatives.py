@@ -92,13 +92,14 @@ def block_table(rows: DataFrame, block_rows: int = BLOCK_ROWS, dims: int = CURVE
 
 
 def zone_maps(blocks: DataFrame) -> DataFrame:
-    """(zone, block, label, low, high) of every block: the least and greatest value of each dimension, padded with zeros."""
+    """(block, label, n, low, high, first_id) of every block: the least and greatest value of each dimension, padded with zeros, and the least id."""
     size = blocks.agg(F.max(F.size("e"))).first()[0] or 0
     part = [F.coalesce(F.get("e", F.lit(d)), F.lit(0)) for d in range(size)]
     ends = [f(x).alias(f"{n}{d}") for d, x in enumerate(part) for n, f in (("l", F.min), ("h", F.max))]
-    zones = blocks.groupBy("block", "label").agg(F.count("*").alias("n"), *ends)
+    first_id = F.min(F.coalesce("vec_id", F.lit(int(NO_ID)))).alias("first_id")
+    zones = blocks.groupBy("block", "label").agg(F.count("*").alias("n"), first_id, *ends)
     arrays = [F.array(*[F.col(f"{n}{d}") for d in range(size)]).cast("array<long>").alias(name) for n, name in (("l", "low"), ("h", "high"))]
-    return written(zones.select("block", "label", "n", *arrays), "zones")
+    return written(zones.select("block", "label", "n", "first_id", *arrays), "zones")
 
 
 def bounds(asks: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,11 +133,12 @@ def window_ends(column: pa.ChunkedArray, missing: int) -> np.ndarray:
 class Search:
     """Best candidates of windows of scores, block by block.
 
-    ``asks`` has (ask, anchor_id, label, e, low, high): an anchor with one or more windows, arrays of score bounds that include their
-    ends. ``same`` looks for candidates with the anchor's label, otherwise for those with another one. The k best of every
+    ``asks`` has (ask, anchor_id, label, e, low, high, tie): an anchor with one or more windows, arrays of score bounds that include their
+    ends; at the low end only ids up to ``tie`` count. ``same`` looks for candidates with the anchor's label, otherwise for those with another one. The k best of every
     window are found in two rounds. The first reads one promising block per anchor and group of zone maps, which gives each
-    window a k-th best score so far. The second reads every other block whose bounds allow a score between
-    that, or the window's low end, and its high end; a block that is not read can hold nothing that belongs to the answer.
+    window a k-th best entry so far. The second reads every other block whose bounds allow a score between
+    that, or the window's low end, and its high end, with an id that would come before it if the scores are equal; a block that is not read can
+    hold nothing that belongs to the answer.
     """
 
     def __init__(self, blocks: DataFrame, zones: DataFrame, k: int, same: bool, ask_rows: int = ASK_ROWS, zone_rows: int = ZONE_ROWS):
@@ -170,8 +172,10 @@ class Search:
                     worth = value[rows, columns]
                 else:
                     wanted = np.zeros(may.shape, dtype=bool)
+                    tie, first_id = window_ends(a["tie"], LOWEST), z["first_id"].combine_chunks().to_numpy()
                     for w in range(low.shape[1]):
-                        wanted |= (low[:, w, None] <= high[:, w, None]) & (most >= low[:, w, None]) & (least <= high[:, w, None])
+                        lo, hi = low[:, w, None], high[:, w, None]
+                        wanted |= (lo <= hi) & (least <= hi) & ((most > lo) | ((most == lo) & (first_id[None, :] <= tie[:, w, None])))
                     rows, columns = np.nonzero(wanted & may)
                     worth = np.zeros(len(rows))
             return pa.table({
@@ -197,13 +201,14 @@ class Search:
                 vectors = vectors.T.astype(kind)
                 ids, own = ids_of(c["vec_id"]), ids_of(a["anchor_id"])
                 ask = a["ask"].combine_chunks().to_numpy()
-                low, high = window_ends(a["low"], HIGHEST), window_ends(a["high"], LOWEST)
+                low, high, tie = window_ends(a["low"], HIGHEST), window_ends(a["high"], LOWEST), window_ends(a["tie"], LOWEST)
                 for at in range(0, len(asks_), 512):
                     some = slice(at, at + 512)
                     scores = asks_[some].astype(kind) @ vectors
                     other = ids[None, :] != own[some, None]
                     for w in range(low.shape[1]):
-                        inside = other & (scores >= low[some, w, None]) & (scores <= high[some, w, None])
+                        lo, hi = low[some, w, None], high[some, w, None]
+                        inside = other & (scores <= hi) & ((scores > lo) | ((scores == lo) & (ids[None, :] <= tie[some, w, None])))
                         best = best_rows(scores, ids, inside, k)
                         rows = np.repeat(np.arange(len(best)), [len(b) for b in best])
                         columns = np.concatenate(best)
@@ -226,11 +231,15 @@ class Search:
         probes = self.chosen(asks, chunks, probe=True).groupBy("ask").agg(F.max(F.struct("worth", "block")).alias("top"))
         probes = written(probes.select("ask", "top.block"), "probes")
         first = written(self.best(self.read(asks, probes, chunks)), "first")
+        entry = F.struct("score", F.coalesce("vec_id", F.lit(int(NO_ID))).alias("vec_id"))
         kth = first.where(F.col("rank") == self.k).groupBy("ask").agg(
-            F.map_from_entries(F.collect_list(F.struct("window", "score"))).alias("kth")
+            F.map_from_entries(F.collect_list(F.struct("window", entry))).alias("kth")
         )
-        raised = F.transform("low", lambda lo, i: F.greatest(lo, F.coalesce(F.col("kth")[i], lo)))
-        asks = written(asks.join(kth, "ask", "left").withColumn("low", raised).drop("kth"), "raised")
+        # The k-th best lies inside its window, so its score is the low end or above.
+        tie = F.transform("tie", lambda tie, w: F.coalesce(F.col("kth")[w]["vec_id"], tie))
+        low = F.transform("low", lambda low, w: F.coalesce(F.col("kth")[w]["score"], low))
+        asks = asks.join(kth, "ask", "left").withColumns({"low": low, "tie": tie}).drop("kth")
+        asks = written(asks, "raised")
         pairs = self.chosen(asks, chunks, probe=False).select("ask", "block")
         pairs = written(pairs.join(probes, ["ask", "block"], "left_anti"), "pairs")
         return self.best(first.drop("rank").unionByName(self.read(asks, pairs, chunks)))
@@ -270,7 +279,7 @@ def hard_negatives(
     anchors = written(anchors, "anchors")
 
     def window(low: Column, high: Column) -> list[Column]:
-        return [F.array(low.cast("long")).alias("low"), F.array(high.cast("long")).alias("high")]
+        return [F.array(x.cast("long")).alias(n) for x, n in ((low, "low"), (high, "high"), (F.lit(int(NO_ID)), "tie"))]
 
     near = Search(blocks, zones, positives, True, ask_rows, zone_rows).run(anchors.select("*", *window(F.lit(LOWEST), F.lit(HIGHEST))))
     near = written(near.select("ask", F.col("rank").alias("place"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
@@ -279,7 +288,7 @@ def hard_negatives(
     high = F.expr(f"(positive_score * {most} - pmod(positive_score * {most}, 100)) div 100").alias("high")
     # The windows of an anchor in the order of its positives: at most that many.
     windows = near.groupBy("ask").agg(F.sort_array(F.collect_list(F.struct("place", low, high))).alias("w"))
-    asks = anchors.join(windows, "ask").select("ask", "anchor_id", "label", "e", F.col("w.low").alias("low"), F.col("w.high").alias("high"))
+    asks = anchors.join(windows, "ask").select("ask", "anchor_id", "label", "e", F.col("w.low").alias("low"), F.col("w.high").alias("high"), F.transform("w", lambda _: F.lit(int(NO_ID))).alias("tie"))
     far = Search(blocks, zones, negatives, False, ask_rows, zone_rows).run(written(asks, "asks"))
     named = near.join(anchors.select("ask", "anchor_id"), "ask")
     return far.withColumn("place", F.col("window") + 1).join(named, ["ask", "place"]).select(

@@ -54,6 +54,12 @@ def test_random_vectors(spark, options):
     assert found(spark, rows, **options) == plain(rows)
 
 
+def test_a_vector_in_most_rows_fills_few_answers(spark):
+    """Ties at the k-th score are cut by id, block by block, and the answer stays whole."""
+    rows = vectors(6, 60, 4) + [(1000 + i, [0.5, 0.25, 0.0, 0.125], i % 3) for i in range(240)]
+    assert found(spark, rows, step=20, block_rows=10) == plain(rows, 20)
+
+
 def test_few_rows_and_other_counts(spark):
     rows = vectors(4, 12, 3, labels=2)
     assert found(spark, rows, step=3, positives=2, negatives=3, block_rows=2) == plain(rows, 3, 2, 3)
@@ -110,6 +116,7 @@ def test_zone_maps_cover_their_blocks_and_prune(spark):
     asks = hn.usable_rows(df, F.col("label")).where("vec_id % 50 = 0").select(
         F.col("vec_id").alias("ask"), F.col("vec_id").alias("anchor_id"), "label", "e",
         F.array(F.lit(20_000).cast("long")).alias("low"), F.array(F.lit(hn.HIGHEST)).alias("high"),
+        F.array(F.lit(int(hn.NO_ID))).alias("tie"),
     )
     read = hn.Search(blocks, zones, 5, True).chosen(asks, 1, probe=False).count()
     assert read < 0.7 * asks.count() * sum(1 for b in held if b["label"] == 0)
