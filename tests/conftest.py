@@ -76,3 +76,47 @@ def make_rows(spark):
         return spark.createDataFrame(rows, BOOKING.raw_schema)
 
     return make
+
+
+class Statements:
+    """What the session's own listener knows of the statements run since this was made."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.before = {e.executionId() for e in self._all()}
+
+    def _all(self):
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        self.store = self.spark._jsparkSession.sharedState().statusStore()
+        found = self.store.executionsList()
+        return [found.apply(i) for i in range(found.size())]
+
+    def new(self):
+        return [e for e in self._all() if e.executionId() not in self.before]
+
+    def nodes(self):
+        for e in self.new():
+            nodes = self.store.planGraph(e.executionId()).allNodes()
+            yield from ((e, nodes.apply(i)) for i in range(nodes.size()))
+
+    def scans_of(self, name):
+        """Scans of files whose node names the table or whose description names the path."""
+        return [n for _, n in self.nodes() if n.name().startswith("Scan ") and (name in n.name() or name in n.desc())]
+
+    def jobs(self):
+        return sum(e.jobs().size() for e in self.new())
+
+    def shuffled_bytes(self):
+        total = 0
+        store = self.spark.sparkContext._jsc.sc().statusStore()
+        for e in self.new():
+            ids = e.stages().toList()
+            for i in range(ids.size()):
+                attempt = store.lastStageAttempt(ids.apply(i))
+                total += attempt.shuffleWriteBytes()
+        return total
+
+
+@pytest.fixture
+def statements(spark):
+    return lambda: Statements(spark)
