@@ -9,9 +9,7 @@ from sievework.operators.profile import (
     duplicate_keys,
     duplicate_rows,
     frequency_tables,
-    moments,
-    quartiles,
-    summary_rows,
+    numeric_summary,
 )
 from sievework.operators.quality import (
     DEFAULT_OPTIONS,
@@ -28,16 +26,16 @@ def full_profile(
     df: DataFrame,
     spec: TableSpec,
     options: QualityOptions = DEFAULT_OPTIONS,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
     work_dir: str | None = None,
 ) -> dict[str, DataFrame]:
     """Profile and quality report of a typed table: shape, columns, nulls, numbers, violations,
     categories, target, unknown_labels, duplicate_rows and duplicate_keys.
 
-    Five scans, whatever the number of reports: one aggregate for all that is counted per
-    column or rule, one for quartiles, one for the values of all categories, one each for
-    whole rows and for keys. The first comes to the driver, a few numbers per column; the values of the
-    categories are stored in ``work_dir``, as there may be many. With the options of the
+    Six scans, whatever the number of reports: one aggregate for all that is counted per
+    column or rule, one for the numbers, one for the values of all categories, two for
+    whole rows and one for keys. The first comes to the driver, a few numbers per column; the values of the
+    categories are stored in ``work_dir``, as there may be many; the others run when they are looked at. With the options of the
     clean-up, the violations are those that reject its rows.
     """
     spark = df.sparkSession
@@ -48,7 +46,6 @@ def full_profile(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
         *[F.count_if(condition).alias(f"r{i}") for i, condition in enumerate(rules.values())],
-        *moments(spec.numeric),
     )
     row = counted.head()
     rows = row["rows"]
@@ -72,8 +69,7 @@ def full_profile(
         "duplicate_rows": duplicate_rows(df.select(spec.names)),
     }
     if spec.numeric:
-        stats = spark.createDataFrame([row], counted.schema)
-        reports["numbers"] = summary_rows(stats, quartiles(df, spec.numeric, accuracy))
+        reports["numbers"] = numeric_summary(df, spec.numeric, accuracy)
     if spec.key:
         reports["duplicate_keys"] = duplicate_keys(df, [spec.key])
     if spec.categorical:

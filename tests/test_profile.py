@@ -43,6 +43,29 @@ def test_numeric_summary_matches_builtin(spark, sf_dir):
             assert float(wide[name][row["column"]]) == pytest.approx(value)
 
 
+def test_summary_of_odd_columns(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1e9 + i, None, nan, float(i)) for i in range(10)] + [(None, None, nan, inf)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    found = {r["column"]: r for r in profile.numeric_summary(df, ["a", "b", "c", "d"]).collect()}
+    assert found["a"]["count"] == 10 and found["a"]["mean"] == pytest.approx(1e9 + 4.5, rel=1e-15)
+    assert found["a"]["stddev"] == pytest.approx(3.0276503540974917) and found["a"]["p50"] == 1e9 + 4
+    assert found["b"]["count"] == 0 and [found["b"][c] for c in ("mean", "stddev", "min", "p25", "p75", "max")] == [None] * 6
+    assert found["c"]["count"] == 11 and found["c"]["p50"] is None
+    assert found["d"]["max"] == inf and found["d"]["p25"] == 2.0
+    one = profile.numeric_summary(df.where("d = 3"), ["a"]).head()
+    assert one["stddev"] is None and one["p25"] == one["p75"] == 1e9 + 3
+    assert [r["count"] for r in profile.numeric_summary(df.limit(0), ["a", "d"]).collect()] == [0, 0]
+
+
+def test_summary_quartiles_are_near(spark):
+    values = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("x")).repartition(9)
+    row = profile.numeric_summary(values, ["x"]).head()
+    for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        below = values.where(F.col("x") <= row[name]).count() / 100_000
+        assert abs(below - share) < 0.004
+
+
 def test_duplicates(spark):
     rows = [(1, "x", 0.0), (1, "x", -0.0), (1, None, 0.0), (None, None, 1.0), (None, None, 1.0)]
     df = spark.createDataFrame(rows, "k int, t string, d double")
