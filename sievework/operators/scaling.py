@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.operators.split import TRAIN_SHARE, hash_split
+from sievework.operators.split import TRAIN_SHARE, hash_split, in_train
 from sievework.spec import TableSpec
 
+SPLIT, TRAIN, TEST = "split", "train", "test"
+
 
 def scaling_statistics(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with ``<column>_mean`` and ``<column>_std`` (sample deviation), in one scan.
@@ -76,13 +78,14 @@ def normalize(
     spec: TableSpec,
     keep_key: bool = True,
     digits: int = 6,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Feature table to model input: key, scaled features, 0/1 features, label."""
+    """Feature table to model input: key, scaled features, 0/1 features, label and ``also`` other columns."""
     f = spec.feature_spec
     rest = [*f.binary, *spec.one_hot_names, *([spec.label] if spec.target else [])]
     head = [spec.key] if keep_key and spec.key else []
-    scaled = standardize_columns(df, statistics, f.scaled, keep=[*head, *rest], digits=digits)
-    return scaled.select([*head, *[f"{c}_scaled" for c in f.scaled], *rest])
+    scaled = standardize_columns(df, statistics, f.scaled, keep=[*head, *rest, *also], digits=digits)
+    return scaled.select([*head, *[f"{c}_scaled" for c in f.scaled], *rest, *also])
 
 
 def train_test_tables(
@@ -100,3 +103,30 @@ def train_test_tables(
         normalize(train, statistics, spec, keep_key, digits),
         normalize(test, statistics, spec, keep_key, digits),
     )
+
+
+def split_rows(
+    features: DataFrame,
+    spec: TableSpec,
+    keep_key: bool = True,
+    train_share: int = TRAIN_SHARE,
+    method: str = "xxhash64",
+    digits: int = 6,
+) -> DataFrame:
+    """Both sides of the split in one table, standardised by the training side, with the side in ``SPLIT``.
+
+    Writing it scans ``features`` twice: once for the statistics, once for all rows of either side.
+    """
+    side = F.when(in_train(spec.key, train_share, method), TRAIN).otherwise(TEST)
+    sided = features.withColumn(SPLIT, side)
+    statistics = scaling_statistics(sided.where(F.col(SPLIT) == TRAIN), spec.feature_spec.scaled)
+    return normalize(sided, statistics, spec, keep_key, digits, also=[SPLIT])
+
+
+def write_split(features: DataFrame, spec: TableSpec, path: str, **options) -> tuple[DataFrame, DataFrame]:
+    """(train, test) read back from one write to ``path``, partitioned by side; each reads its own partition only."""
+    rows = split_rows(features, spec, **options)
+    rows.write.mode("overwrite").partitionBy(SPLIT).parquet(path)
+    stored = features.sparkSession.read.schema(rows.schema).parquet(path)
+    train, test = (stored.where(F.col(SPLIT) == side).drop(SPLIT) for side in (TRAIN, TEST))
+    return train, test

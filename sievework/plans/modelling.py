@@ -16,6 +16,7 @@ from sievework.operators.evaluation import (
 )
 from sievework.operators.inspection import feature_importance, model_contents
 from sievework.operators.quality import DEFAULT_OPTIONS
+from sievework.operators.scaling import write_split
 from sievework.operators.training import (
     Trained,
     assemble,
@@ -58,12 +59,13 @@ def compare_models(
     partitions: int | None = None,
     model_path: str | None = None,
     importances: int | None = None,
+    at_once: int = 1,
 ) -> Selected:
     """Train the estimators on a normalised table, compare them and save the best one.
 
     ``partitions`` redistributes the assembled rows before training; ``importances`` is the
-    number of feature importances reported for each tree model, all by default. Reports come
-    from what was counted during the evaluation, so nothing is scored twice.
+    number of feature importances reported for each tree model, all by default; ``at_once`` models are
+    fitted side by side. Reports come from what was counted during the evaluation, so nothing is scored twice.
     """
     spark = train.sparkSession
     columns = model_columns(train, spec)
@@ -72,7 +74,7 @@ def compare_models(
     with kept(train_ml, test_ml):
         sizes = input_sizes(train_ml, test_ml, len(columns)).collect()
         baseline = majority_baseline(train_ml, test_ml).collect()
-        results = train_models(estimators or four_models(), train_ml, test_ml)
+        results = train_models(estimators or four_models(), train_ml, test_ml, at_once=at_once)
         labels = label_distribution(train_ml).collect()
     reports = {
         "input_sizes": spark.createDataFrame(sizes),
@@ -124,9 +126,10 @@ def train_two_from_csv(
     """
     raw = read_csv_inferred(spark, path)
     p = prepare(raw, spec, work_dir, options, on_duplicate="ignore", keep_key=False)
-    columns = model_columns(p.train, spec)
-    train_ml = assemble(p.train, columns, spec.label, invalid="error")
-    test_ml = assemble(p.test, columns, spec.label, invalid="error")
+    train, test = write_split(p.features, spec, f"{work_dir}/split", keep_key=False)
+    columns = model_columns(train, spec)
+    train_ml = assemble(train, columns, spec.label, invalid="error")
+    test_ml = assemble(test, columns, spec.label, invalid="error")
     with kept(train_ml, test_ml):
         forest, regression = train_models(two_models(), train_ml, test_ml)
     best = better_of_two(forest, regression)

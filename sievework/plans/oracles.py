@@ -387,6 +387,15 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT CASE WHEN {_in_train('booking_id')} THEN 'train' ELSE 'test' END AS split,
             count(*) AS rows FROM clean GROUP BY 1""",
         ),
+        "split_table": _with(
+            "clean",
+            f"""SELECT CASE WHEN {_in_train('booking_id')} THEN 'train' ELSE 'test' END AS split,
+            CASE WHEN booking_status = 'Canceled' THEN 1 ELSE 0 END AS {BOOKING.label}, count(*) AS rows FROM clean GROUP BY 1, 2""",
+        ),
+        "embedding_correlations": """
+          WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings)
+          SELECT concat('d', a.d) AS feature_a, concat('d', b.d) AS feature_b, round(corr(a.x, b.x), 6) AS r
+          FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.d < b.d GROUP BY a.d, b.d""",
         "ml_input_sizes": _with(
             "clean",
             f"""SELECT CASE WHEN {_in_train('booking_id')} THEN 'train' ELSE 'test' END AS split,

@@ -607,6 +607,25 @@ def model_coefficients(spark, sf_dir):
     return inspection.coefficients(spark, load_model(spark, path), columns)
 
 
+@query
+def split_table(spark, sf_dir):
+    """Rows by side and label of both sides of the split, stored in one write."""
+    features_ = booking_features(spark, sf_dir)
+    sides = scaling.write_split(features_, BOOKING, scratch_dir(spark), method="md5")
+    both = [t.withColumn("split", F.lit(n)) for n, t in zip((scaling.TRAIN, scaling.TEST), sides)]
+    return both[0].unionByName(both[1]).groupBy("split", BOOKING.label).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def embedding_correlations(spark, sf_dir):
+    """Correlations of all dimensions of the vectors, in blocks."""
+    vectors = table(spark, sf_dir, "embeddings")
+    names = [f"d{i}" for i in range(vectors.select(F.max(F.size("embedding"))).head()[0])]
+    wide = vectors.select([F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    matrix = correlation.blocked_correlations(wide, names, block=24)
+    return rounded(matrix.where("position_a < position_b").select("feature_a", "feature_b", "r"), 6, "r")
+
+
 # --- round trips -------------------------------------------------------------------------
 
 

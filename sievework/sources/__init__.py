@@ -13,6 +13,7 @@ from sievework.sources.writers import (
     list_tables,
     table_counts,
     write_csv,
+    write_parts,
     write_table,
     write_tables,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "small_table",
     "table_counts",
     "write_csv",
+    "write_parts",
     "write_table",
     "write_tables",
 ]

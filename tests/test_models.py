@@ -5,7 +5,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from sievework.operators import inspection, training
+from sievework.operators import features, inspection, quality, scaling, training
 from sievework.plans import modelling, prepare
 from sievework.plans.bookings_view import bookings
 from sievework.sources import load_model, save_model, write_csv
@@ -38,6 +38,34 @@ def test_catalog_tables(spark, catalog):
     assert {"raw", "clean", "rejected", "train_normalized", "test_normalized"} <= names
 
 
+def test_the_clean_table_is_scanned_twice_for_both_sides(spark, sf_dir, tmp_path, statements):
+    """Once for the scaling statistics and once for the rows; the views read their own part."""
+    spark.sql("CREATE DATABASE passes")
+    bookings(spark, sf_dir).write.saveAsTable("passes.raw")
+    spark.sql("CREATE TABLE passes.test_normalized (x INT) USING parquet")  # what a former run may have left
+    seen = statements()
+    found = prepare.prepare_catalog(spark, "passes.raw", BOOKING, "passes", str(tmp_path))
+    assert len(seen.scans_of("passes.clean")) == 2
+    split = spark.table("passes.normalized")
+    for name, side in (("train_normalized", "train"), ("test_normalized", "test")):
+        view = spark.table(f"passes.{name}")
+        assert "split" not in view.columns and view.columns[0] == "booking_id"
+        assert sorted(view.collect()) == sorted(split.where(F.col("split") == side).drop("split").collect())
+        assert "PartitionFilters: [isnotnull(split" in view._jdf.queryExecution().executedPlan().toString()
+    prepare.prepare_catalog(spark, "passes.raw", BOOKING, "passes", str(tmp_path))
+    assert found.train.count() + found.test.count() == spark.table("passes.clean").count()
+
+
+def test_one_write_gives_the_same_sides(spark, sf_dir, tmp_path):
+    clean = quality.clean_and_rejected(bookings(spark, sf_dir), BOOKING)[0]
+    table = features.feature_table(clean, BOOKING)
+    for keep in (True, False):
+        lazy = scaling.train_test_tables(table, BOOKING, keep)
+        stored = scaling.write_split(table, BOOKING, str(tmp_path / "split"), keep_key=keep)
+        for a, b in zip(lazy, stored):
+            assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def test_compare_save_and_describe(spark, catalog, small, tmp_path):
     path = str(tmp_path / "model")
     chosen = modelling.compare_models(
@@ -105,6 +133,29 @@ def test_a_forest_scores_after_a_csv_was_written(spark, line, tmp_path):
     assert len(training.score_rows(forest, line).collect()) == 200
 
 
+def test_models_fitted_side_by_side_are_the_same(spark, line):
+    """On a fixed partitioning, in the order of the estimators, with the caller's job properties left alone."""
+    estimators = training.four_models()
+    rows = line.coalesce(2).cache()
+    serial = training.train_models(estimators, rows, rows)
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", "mine")
+    together = training.train_models(estimators, rows, rows, at_once=4)
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == "mine"
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    assert [r.name for r in together] == list(estimators)
+    for one, other in zip(serial, together):
+        assert one.rounded()[:-1] == other.rounded()[:-1] and sorted(one.cells) == sorted(other.cells)
+        assert other.training_seconds > 0
+    assert together[0].model.toDebugString.split("\n")[1:] == serial[0].model.toDebugString.split("\n")[1:]
+    rows.unpersist()
+
+
+def test_a_failing_fit_is_raised(spark, line):
+    bad = {"Good": DecisionTreeClassifier(maxDepth=2), "Bad": LogisticRegression(featuresCol="missing")}
+    with pytest.raises(Exception, match="missing"):
+        training.train_models(bad, line, line, at_once=2)
+
+
 def trained(name, auc):
     return training.Trained(name, None, auc, 0, 0, 0, 0, 0, 0)
 
