@@ -273,11 +273,18 @@ def repeats(
     edges = contexts.join(variety, "g").select(
         "at.*", "g", "h", (F.col("n") > 1).alias("known"), (F.col("contexts") > crowd).alias("hot")
     )
+    copies = texts.where(F.octet_length("text") >= length).groupBy("t1", "t2").agg(F.count("*").alias("n"))
+    copies = written(copies.where("n > 1").select("t1", "t2", F.lit(True).alias("copied")), "copies")
     wanted = edges.groupBy("t1", "t2").agg(F.collect_list(F.struct("s", "e", "a", "g", "h", "known", "hot")).alias("wanted"))
-    held = texts.join(written(wanted, "wanted"), ["t1", "t2"]).select("t1", "t2", F.encode("text", "UTF-8").alias("data"), F.explode("wanted").alias("w"))
+    wanted = written(wanted.join(copies, ["t1", "t2"], "left"), "wanted")
+    held = texts.join(wanted, ["t1", "t2"]).select("t1", "t2", "copied", F.encode("text", "UTF-8").alias("data"), F.explode("wanted").alias("w"))
     cut = F.substring(F.col("data"), (F.col("w.s") + 1).cast("int"), (F.col("w.e") - F.col("w.s") + length).cast("int"))
-    held = written(held.select("t1", "t2", "w.*", cut.alias("bytes")), "edges")
-    quiet = held.where("NOT hot").drop("hot").repartition("g").sortWithinPartitions("g")
+    held = written(held.select("t1", "t2", "copied", "w.*", cut.alias("bytes")), "edges")
+    # Every copy of a text brought its contexts. The tasks reduce them to one row each before a gram's rows meet.
+    fields = ["t1", "t2", "s", "e", "a", "known", "bytes"]
+    quiet = held.where("NOT hot")
+    once = quiet.where("copied").groupBy("g", "h").agg(F.first(F.struct(*fields)).alias("one")).select("one.*", "g", "h")
+    quiet = quiet.where("copied IS NULL").select(*fields, "g", "h").unionByName(once).repartition("g").sortWithinPartitions("g")
     resolved = quiet.mapInArrow(lambda it: settle_groups(it, length, block), longs(["t1", "t2", "s", "e"]) + " long")
     windows = held.where("hot").mapInArrow(
         lambda it: window_rows(it, length), "t1 long, t2 long, p long, w1 long, w2 long, known boolean"
@@ -286,7 +293,6 @@ def repeats(
     windows = written(windows.distinct(), "windows")
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.max("known").alias("known")).where("n > 1 OR known")
     counted = windows.where("NOT known").join(twice.select("w1", "w2"), ["w1", "w2"]).select("t1", "t2", F.col("p").alias("s"), (F.col("p") + length).alias("e"))
-    copies = texts.where(F.octet_length("text") >= length).groupBy("t1", "t2").agg(F.count("*").alias("n")).where("n > 1")
     spans = settled.unionByName(resolved).unionByName(counted).distinct()
     spans = spans.join(copies.select("t1", "t2"), ["t1", "t2"], "left_anti")
     spans = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
