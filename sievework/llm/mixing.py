@@ -79,7 +79,7 @@ def mix(
         F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
     )
     base = docs.select(
-        F.struct(*(keep or docs.columns)).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
         size.cast("long").alias("size"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
         F.col(source).isNull().alias("absent"),

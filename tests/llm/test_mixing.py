@@ -71,3 +71,10 @@ def test_without_words_or_rows(docs_of):
     assert [(r["target"], r["taken"]) for r in found] == [(0.0, 0)] * 2
     assert mixing.mix(docs_of((1, "a")).where("false")).count() == 0
     assert mixing.mixed(docs_of((1, "a")).where("false")).count() == 0
+
+
+def test_column_names_with_dots(docs_of):
+    docs = docs_of((1, "a b", "x"), (2, "c", "y")).selectExpr("*", "doc_id AS `doc_id.x`", "text AS `text.y`")
+    found = mixing.mixed(docs)
+    assert found.columns == docs.columns and found.count() > 0
+    assert all(r["doc_id.x"] == r["doc_id"] for r in found.collect())
