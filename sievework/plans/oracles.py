@@ -273,6 +273,30 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT model, label::integer AS label, n AS rows FROM ({test_labels}),
             (VALUES {', '.join(f"('{m}')" for m in model_names)}) AS m(model)""",
         ),
+        "node_predictions": _with(
+            "features",
+            f"""SELECT model, label::double AS label, n AS agreed FROM ({test_labels}),
+            (VALUES ('Decision Tree'), ('Random Forest'), ('Gradient Boosted Tree'), ('Large Forest')) AS m(model)""",
+        ),
+        "leaf_occupancy": _with(
+            "features",
+            f"""SELECT {BOOKING.label}::double AS label, count(*) AS stored, count(*) AS routed, 0 AS differing
+            FROM features WHERE {_in_train('booking_id')} GROUP BY 1""",
+        ),
+        "importance_file": """SELECT model, 1.0::double AS total, 0 AS differing, 0 AS unknown
+            FROM (VALUES ('Decision Tree'), ('Random Forest'), ('Gradient Boosted Tree')) AS m(model)""",
+        "reloaded_best_model": _with(
+            "features", f"SELECT label, n AS rows, 0 AS differing, 0 AS better FROM ({test_labels})"
+        ),
+        "spread_sizes": _with(
+            "clean",
+            f"""SELECT CASE WHEN {_in_train('booking_id')} THEN 'train' ELSE 'test' END AS split,
+            count(*) AS rows, {len(BOOKING.feature_names)} AS features, 5 AS partitions FROM clean GROUP BY 1""",
+        ),
+        "listed_tables": _each(
+            ("nation", "customer", "orders"),
+            lambda t: f"""SELECT '{t}' AS "tableName", 0 AS temporary, count(*) AS rows FROM {t}""",
+        ),
         "rescored_rows": _with("features", f"SELECT label, n AS agreed FROM ({test_labels})"),
         "report_files": f"""WITH {SCORED}, {metrics}
           SELECT 'actual_label_distribution' AS report, label::varchar AS item,

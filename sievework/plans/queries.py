@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +24,14 @@ from sievework.operators import (
     reports,
     scaling,
     split,
+    stored_trees,
     training,
 )
 from sievework.plans import modelling
 from sievework.plans.bookings_view import bookings, table
 from sievework.sources import (
     drop_embedded_header,
+    list_tables,
     load_model,
     read_csv,
     read_csv_inferred,
@@ -39,6 +42,7 @@ from sievework.sources import (
     table_counts,
     write_csv,
     write_table,
+    write_tables,
 )
 from sievework.specs import BOOKING, CUSTOMER, LINEITEM, ORDERS
 
@@ -578,6 +582,110 @@ def rescored_rows(spark, sf_dir):
     return scored.groupBy(F.col(BOOKING.label).alias("label")).agg(agreed)
 
 
+def _saved_trees(spark, train, columns, estimator):
+    """A fitted model, and its nodes as they were saved."""
+    with training.kept(training.assemble(train, columns, BOOKING.label)) as (rows,):
+        model = estimator.fit(rows)
+    path = scratch_dir(spark)
+    save_model(model, path)
+    return model, stored_trees.stored_trees(spark, path)
+
+
+def _with_values(df: DataFrame, columns) -> DataFrame:
+    return training.assemble(df, columns, BOOKING.label).withColumn("x", vector_to_array("features"))
+
+
+@query
+def node_predictions(spark, sf_dir):
+    """Test rows by label on which each tree model and its saved nodes, as a column expression, agree."""
+    train, test = model_tables(spark, sf_dir)
+    columns = modelling.model_columns(train, BOOKING)
+    models = {n: e for n, e in training.four_models().items() if n != "Logistic Regression"}
+    models["Large Forest"] = training.two_models()["Random Forest"]
+    out = None
+    for name, estimator in models.items():
+        model, trees = _saved_trees(spark, train, columns, estimator)
+        scored = training.scoring_handle(model).transform(_with_values(test, columns))
+        scored = scored.select("label", "x", F.col("prediction").alias("fitted"))
+        agreed = F.count_if(F.col("fitted") == F.col("prediction")).alias("agreed")
+        found = stored_trees.score_by_nodes(scored, trees, "x").groupBy("label").agg(agreed)
+        found = found.select(F.lit(name).alias("model"), "label", "agreed")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query
+def leaf_occupancy(spark, sf_dir):
+    """Training rows by label in the leaves of a saved decision tree: as stored, as routed by its nodes, and the leaves where these differ."""
+    train, _ = model_tables(spark, sf_dir)
+    columns = modelling.model_columns(train, BOOKING)
+    _, trees = _saved_trees(spark, train, columns, training.four_models()["Decision Tree"])
+    routed = stored_trees.score_by_nodes(_with_values(train, columns), trees, "x")
+    routed = routed.groupBy(F.col("leaves")[0].alias("node"), "label").agg(F.count(F.lit(1)).alias("routed"))
+    stored = stored_trees.leaf_rows(trees).select("node", "label", F.col("rows").alias("stored"))
+    both = routed.join(stored, ["node", "label"], "full").na.fill(0, ["routed", "stored"])
+    return both.groupBy("label").agg(
+        F.sum("stored").cast("long").alias("stored"),
+        F.sum("routed").alias("routed"),
+        F.count_if(F.col("stored") != F.col("routed")).alias("differing"),
+    )
+
+
+@query
+def importance_file(spark, sf_dir):
+    """Importances of the three tree models, written as CSV reports and read back, against those of the saved splits."""
+    train, _ = model_tables(spark, sf_dir)
+    columns = modelling.model_columns(train, BOOKING)
+    out = None
+    for name, estimator in training.four_models().items():
+        if name == "Logistic Regression":
+            continue
+        model, trees = _saved_trees(spark, train, columns, estimator)
+        path = scratch_dir(spark)
+        write_csv(inspection.feature_importance(spark, model, columns, None), path, single_file=True)
+        by_nodes = stored_trees.importance_by_nodes(trees, columns).withColumnRenamed("importance", "by_nodes")
+        both = read_csv_inferred(spark, path).join(by_nodes, "feature", "full")
+        close = F.abs(F.col("importance") - F.col("by_nodes")) < 1e-9
+        found = both.agg(
+            F.lit(name).alias("model"),
+            F.round(F.sum("importance"), 9).alias("total"),
+            F.count_if(~F.coalesce(close, F.lit(False))).alias("differing"),
+            F.count_if(~F.col("feature").isin(columns)).alias("unknown"),
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query
+def reloaded_best_model(spark, sf_dir):
+    """Test rows by label, scored by the best of four models after it was saved and loaded, the cells of its confusion
+    matrix that differ from the fitted model's, and the models with a larger area."""
+    train, test = model_tables(spark, sf_dir)
+    path = scratch_dir(spark)
+    chosen = modelling.compare_models(train, test, BOOKING, model_path=path)
+    rows = training.assemble(test, modelling.model_columns(test, BOOKING), BOOKING.label)
+    matrix = evaluation.confusion_matrix(training.score_rows(load_model(spark, path), rows))
+    fitted = training.matrix_of(spark, chosen.best).withColumnRenamed("count", "fitted")
+    both = matrix.join(fitted, ["label", "prediction"], "full").na.fill(0, ["count", "fitted"])
+    better = sum(m.roc_auc > chosen.best.roc_auc for m in chosen.models)
+    return both.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.sum("count").alias("rows"),
+        F.count_if(F.col("count") != F.col("fitted")).alias("differing"),
+        F.lit(better).alias("better"),
+    )
+
+
+@query
+def spread_sizes(spark, sf_dir):
+    """Sizes of both sides of the model input after each was dealt over five partitions and persisted."""
+    train, test = model_tables(spark, sf_dir)
+    columns = modelling.model_columns(train, BOOKING)
+    sides = [training.spread(training.assemble(t, columns, BOOKING.label), 5) for t in (train, test)]
+    with training.kept(*sides):
+        sizes = training.input_sizes(*sides, len(columns)).collect()  # one row per side
+    return small_table(spark, sizes, "split string, rows bigint, features int, partitions bigint")
+
+
 def _fitted(spark, sf_dir, estimator):
     train, _ = model_tables(spark, sf_dir)
     columns = modelling.model_columns(train, BOOKING)
@@ -682,6 +790,18 @@ def written_table_counts(spark, sf_dir):
     return counts.withColumn("table", F.substring_index("table", ".", -1))
 
 
+@query
+def listed_tables(spark, sf_dir):
+    """Tables of a database as the catalog lists them, with their rows."""
+    database = _database(spark)
+    tables = {n: table(spark, sf_dir, n) for n in ("nation", "customer", "orders")}
+    write_tables({f"{database}.{n}": df for n, df in tables.items()})
+    counts = table_counts(spark, [f"{database}.{n}" for n in tables])
+    counts = counts.select(F.substring_index("table", ".", -1).alias("tableName"), "rows")
+    listed = list_tables(spark, database).select("tableName", F.col("isTemporary").cast("int").alias("temporary"))
+    return listed.join(counts, "tableName", "full")
+
+
 @query
 def report_files(spark, sf_dir):
     """Distributions, confusion matrix and metrics as CSV reports, read back."""
