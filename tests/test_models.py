@@ -182,3 +182,33 @@ def test_prepare_file(spark, sf_dir, tmp_path):
     assert p.train.columns[0] == "no_of_adults_scaled" and len(p.train.columns) == 38
     assert p.reports["target_correlations"].count() == 12
     assert p.reports["pair_correlations"].count() == 10
+
+
+def test_fits_have_as_many_partitions_as_their_rows_need(spark):
+    """The rows of a task are bounded however many there are; a small table stays as its scan gives it."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("y")).coalesce(1)
+    assert training.fit_partitions(rows) is None and training.fit_partitions(rows, 1000) is None
+    assert training.fit_partitions(rows.limit(0)) is None
+    assert training.fit_partitions(rows, 999) == cores
+    n = training.fit_partitions(rows, 10)
+    assert n % cores == 0 and n >= 100
+    sizes = training.partition_sizes(training.spread(training.assemble(rows, ["x"], "y"), n)).collect()
+    assert sum(r["rows"] for r in sizes) == 1000 and max(r["rows"] for r in sizes) <= 20
+
+
+def test_rows_of_a_fit_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_A_TASK", 50)
+    rows = spark.range(4000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("y")).coalesce(1)
+    held = training.fit_rows(rows, ["x"], "y")
+    assert max(r["rows"] for r in training.partition_sizes(held).collect()) <= 60
+
+
+def test_model_tables_are_stored_once_with_the_same_rows(spark, sf_dir):
+    """Fits read plain columns of one write; the rows are those of the lazy tables."""
+    from sievework.plans.queries import model_tables, stored_model_tables
+
+    for lazy, stored in zip(model_tables(spark, sf_dir), stored_model_tables(spark, sf_dir)):
+        assert stored.columns == lazy.columns and stored.dtypes == lazy.dtypes
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, lazy.collect()))
+        assert "ScalarSubquery" not in stored._jdf.queryExecution().optimizedPlan().toString()
