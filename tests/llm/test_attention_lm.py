@@ -246,3 +246,51 @@ def test_known_bounds_settle_that_no_exponent_is_too_large(monkeypatch):
     assert asked and max(asked) <= lm.SAFE
     monkeypatch.setattr(lm, "extreme", lambda values, bound=np.inf: np.inf)
     assert scores == pytest.approx(lm.sequence_scores(model, sequences), rel=1e-6)
+
+
+def test_every_training_text_is_learned_from(docs_of, tokenizer_path, monkeypatch):
+    """Each row that is not held out is in one round, repeated rows as often as they come."""
+    rows = [(i % 3_200, f"w{i % 11} w{i % 3_200}") for i in range(3_500)]
+    learned, plain = Counter(), lm.averaged
+
+    def averaged(taught, *args):
+        learned.update(r["text"] for r in taught.collect())
+        return plain(taught, *args)
+
+    monkeypatch.setattr(lm, "averaged", averaged)
+    lm.score_texts(docs_of(*rows), tokenizer_path(VOCABULARY), start=50, steps=1)
+    assert learned == Counter(t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2)
+
+
+def test_words_that_are_not_shipped_are_known_all_the_same(small_docs, docs_of, tokenizer_path):
+    """Scores do not depend on which counts go to the tasks and which are joined; a word of very many subwords does not overflow."""
+    long = docs_of(*[(i, "common " * 9 + "zq" * 900 + " " + "zq" * 900) for i in range(12)])
+    docs = small_docs.select("doc_id", "text").unionByName(long.selectExpr("doc_id - 100 AS doc_id", "text"))
+    all_shipped, joined = (
+        {r["doc_id"]: r["score"] for r in lm.score_texts(docs, tokenizer_path(VOCABULARY), frequent=n, steps=5, rounds=0).collect()}
+        for n in (lm.FREQUENT, 10)
+    )
+    assert len(joined) == docs.count() and joined == pytest.approx(all_shipped, rel=1e-5)
+
+
+def test_gradients_are_those_of_finite_differences():
+    rng = np.random.default_rng(8)
+    sequences = [rng.integers(0, lm.CLASSES, n).astype(np.int32) for n in (1, 40, 64, 65, 200)]
+    model = lm.untrained(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    for name in lm.PARAMETERS:
+        setattr(model, name, getattr(model, name).astype(np.float64))
+    given, goals, where, _ = lm.windows(sequences)
+
+    def loss():
+        return -np.log(10) * lm.sequence_scores(model, sequences).sum() / where.sum()
+
+    for name, slope in lm.slopes(model, given, goals, where).items():
+        part, found = getattr(model, name), slope.ravel()
+        for i in np.argsort(-np.abs(found))[:3].tolist():
+            before = part.flat[i]
+            part.flat[i] = before + 1e-4
+            above = loss()
+            part.flat[i] = before - 1e-4
+            below = loss()
+            part.flat[i] = before
+            assert (above - below) / 2e-4 == pytest.approx(found[i], rel=1e-3), name
