@@ -9,6 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def pytest_collection_modifyitems(items):
+    """Tests that use an Observation come last: the session they share cannot be shipped afterwards, and models that keep their training summary hold on to it."""
+    items.sort(key=lambda item: "with_an_observation" in item.name)
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
